@@ -343,7 +343,9 @@ def composed(texts: list[str], notes: list[str], r: np.random.Generator) -> tupl
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
     """Fit a labeller on at most ``sample`` of the pages, chosen by a hash of their html."""
-    rows = pages.select(F.substring("html", 1, SAMPLE_BYTES).alias("html"), F.crc32("html").alias("k")).where("html is not null").orderBy("k", "html").limit(sample).collect()
+    held = pages.where("html is not null").select("html", F.crc32("html").alias("k"))
+    share = min(1.0, 3 * sample / max(1, held.count()))  # so that few rows reach the driver, however many pages there are
+    rows = held.where(F.col("k") < share * 2.0**32).select(F.substring("html", 1, SAMPLE_BYTES).alias("html"), "k").orderBy("k", "html").limit(sample).collect()
     r = np.random.default_rng(5)
     data, labels = [], []
     texts = [b for row in rows if (b := blocks(row["html"]))]

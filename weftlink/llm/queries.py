@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, language_id, phrase_index
+from . import byte_bpe, html_text, language_id, phrase_index, shingle_join
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -29,6 +29,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.groups(read(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op4_language_id": op4_language_id,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_shingle_join": op8_shingle_join,
     "op10_decontamination": op10_decontamination,
 }
 
