@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, language_id, phrase_index, shingle_join
+from . import byte_bpe, html_text, kneser_ney, language_id, phrase_index, quality_ratio, shingle_join, unigram_counts
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ratio.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(read(spark, sf_dir, "pages"))
 
@@ -23,12 +28,22 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
 
+def op5_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return unigram_counts.report(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_FILE))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.groups(read(spark, sf_dir, "documents"))
 
@@ -38,9 +53,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_ratio": op1_quality_ratio,
     "op2_html_text": op2_html_text,
     "op4_language_id": op4_language_id,
+    "op5_unigram_counts": op5_unigram_counts,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_shingle_join": op8_shingle_join,
     "op10_decontamination": op10_decontamination,
 }
