@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, kneser_ney, language_id, phrase_index, quality_ratio, shingle_join, unigram_counts
+from . import byte_bpe, html_text, katz, kneser_ney, language_id, phrase_index, quality_ratio, shingle_join, unigram_counts
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(read(spark, sf_dir, "pages"))
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ratio": op1_quality_ratio,
     "op2_html_text": op2_html_text,
+    "op3_katz": op3_katz,
     "op4_language_id": op4_language_id,
     "op5_unigram_counts": op5_unigram_counts,
     "op6_byte_bpe": op6_byte_bpe,
