@@ -8,6 +8,7 @@ scanning bytes gives the same words as scanning code points.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -60,7 +61,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._weftlink_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored() tables that nothing reads any more, and let Spark drop the shuffles behind them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._weftlink_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def shard_count(spark: SparkSession) -> int:

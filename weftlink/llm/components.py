@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = _lowest(both).where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
         low = _lowest(large)
         small = low.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(low.select("v", F.col("m").alias("u"))).where("v <> u").distinct()
-        links = stored(small, "links")
+        old, links = links, stored(small, "links")
+        discard(old)
         state = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
         if state == before:
             break

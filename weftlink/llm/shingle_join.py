@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED_WORD, U64, cut, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
+from .common import LOWER, SPACED_WORD, U64, cut, discard, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
 from .components import components
 
 WORDS = 5
@@ -158,7 +158,8 @@ class PrefixTree:
 def pairs_of_meetings(keys, ids, sizes, places):
     """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set).
 
-    Gives arrays a, size of a, b, size of b of the pairs, and entry numbers and meeting numbers of the large meetings.
+    Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
+    meetings: sets, sizes, places and n-grams.
     """
     order = np.lexsort((ids, keys))
     keys, ids, sizes, places = keys[order], ids[order], sizes[order], places[order]
@@ -167,24 +168,25 @@ def pairs_of_meetings(keys, ids, sizes, places):
     keys, ids, sizes, places, order = keys[fresh], ids[fresh], sizes[fresh], places[fresh], order[fresh]
     at = runs(keys)
     n = np.diff(at)
-    left, right, big, which = [], [], [], []
+    left, right, big, small = [], [], [], []
     for m in range(2, MEETING + 1):
         first = at[:-1][n == m]
         for i in range(m):
             for j in range(i + 1, m):
                 left.append(first + i)
                 right.append(first + j)
-    for k, (low, m) in enumerate(zip(at[:-1][n > MEETING].tolist(), n[n > MEETING].tolist(), strict=True)):
+                small.append(np.ones(len(first), dtype=np.int64))
+    for low, m in zip(at[:-1][n > MEETING].tolist(), n[n > MEETING].tolist(), strict=True):
         left.append(np.full(m - 1, low))
         right.append(np.arange(low + 1, low + m))
+        small.append(np.zeros(m - 1, dtype=np.int64))
         big.append(np.arange(low, low + m))
-        which.append(np.full(m, k))
     none = np.zeros(0, dtype=np.int64)
-    a, b = np.concatenate(left or [none]), np.concatenate(right or [none])
+    a, b, small = np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(small or [none])
     keep = possible(sizes[a], places[a], sizes[b], places[b])
-    a, b = a[keep], b[keep]
-    big, which = np.concatenate(big or [none]), np.concatenate(which or [none])
-    return (ids[a], sizes[a], ids[b], sizes[b]), (ids[big], sizes[big], places[big], which, keys[big])
+    a, b, small = a[keep], b[keep], small[keep]
+    big = np.concatenate(big or [none])
+    return (ids[a], sizes[a], ids[b], sizes[b], small), (ids[big], sizes[big], places[big], keys[big])
 
 
 def possible(size_a, place_a, size_b, place_b):
@@ -193,12 +195,14 @@ def possible(size_a, place_a, size_b, place_b):
     return most >= need(size_a, size_b)
 
 
-def distinct_pairs(a, size_a, b, size_b):
+def distinct_pairs(a, size_a, b, size_b, shared):
+    """Each pair once, with the sum of ``shared``: the n-grams of small meetings that it shares."""
     order = np.lexsort((b, a))
-    a, size_a, b, size_b = a[order], size_a[order], b[order], size_b[order]
+    a, size_a, b, size_b, shared = a[order], size_a[order], b[order], size_b[order], shared[order]
     fresh = np.ones(len(a), dtype=bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[fresh], size_a[fresh], b[fresh], size_b[fresh]
+    total = np.add.reduceat(shared.astype(np.int64), np.flatnonzero(fresh)) if len(a) else shared.astype(np.int64)
+    return a[fresh], size_a[fresh], b[fresh], size_b[fresh], total
 
 
 ENTRY = "kind int, doc_id long, digest long, n int, shard int, block binary"
@@ -255,13 +259,13 @@ def meetings(entries: DataFrame, shards: int) -> DataFrame:
         for block in table.column("block"):
             keys, local, place, ids, size = unpack(block.as_py())
             parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64)))
-        (a, sa, b, sb), (ids, sizes, places, which, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        a, sa, b, sb = distinct_pairs(a, sa, b, sb)
+        pairs, (ids, sizes, places, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        a, sa, b, sb, shared = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
         rank = np.argsort(to, kind="stable")
         bounds = np.searchsorted(to[rank], np.arange(shards + 1))
         held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
-        blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
+        blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
         out = [_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks)]
         out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32)))
         return pa.Table.from_batches(out)
@@ -270,14 +274,28 @@ def meetings(entries: DataFrame, shards: int) -> DataFrame:
 
 
 def candidate_pairs(packed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, na, b, nb) out of the packed ones."""
+    """Distinct pairs (a, na, b, nb) out of the packed ones, with the number of n-grams they share in small meetings."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x.as_py()) for x in table.column("block")]
-        a, sa, b, sb = distinct_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        return pa.table({"a": a, "na": sa, "b": b, "nb": sb})
+        a, sa, b, sb, shared = distinct_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return pa.table({"a": a, "na": sa, "b": b, "nb": sb, "shared": shared})
 
-    return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int")
+    return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long")
+
+
+#: Least overlap, and the n-grams behind the first ones, in SQL.
+NEED = f"ceil({NUM} * (na + nb) / {NUM + DEN})"
+BEHIND = f"greatest(ceil({NUM} * na / {DEN}), ceil({NUM} * nb / {DEN})) - 1"
+
+
+def likely(pairs: DataFrame, large: DataFrame) -> DataFrame:
+    """The pairs that can still reach the overlap: what they share among their first n-grams is known in small meetings,
+    and at most all of the large meetings of either; the rest of the larger set may be shared."""
+    crowd = large.groupBy("digest").agg(F.count("*").alias("crowd"))
+    one, two = crowd.select(F.col("digest").alias("a"), F.col("crowd").alias("ca")), crowd.select(F.col("digest").alias("b"), F.col("crowd").alias("cb"))
+    rows = pairs.join(one, "a", "left").join(two, "b", "left").na.fill(0, ["ca", "cb"])
+    return rows.where(f"shared + least(ca, cb) + {BEHIND} >= {NEED}").select("a", "b")
 
 
 def sets_of(docs: DataFrame, sets: DataFrame, order, width: int) -> DataFrame:
@@ -302,8 +320,9 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     width = pairs.groupBy("a").agg(F.count("*").alias("members"))
     parted = pairs.join(width, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("members") / PART) + 1).alias("part"))
     parted = parted.withColumn("block", F.pmod(F.xxhash64("a", "part"), F.lit(blocks)).cast("int"))
-    queries = parted.select("a", "part", "block").distinct().join(sets.select(F.col("digest").alias("a"), "grams"), "a").select("block", "a", "part", F.lit(None).cast("long").alias("b"), "grams")
-    members = parted.join(sets.select(F.col("digest").alias("b"), "grams"), "b").select("block", "a", "part", "b", "grams")
+    queries = parted.select("block", "a", "part", F.lit(None).cast("long").alias("b"), F.col("a").alias("digest")).distinct()
+    members = parted.select("block", "a", "part", "b", F.col("b").alias("digest"))
+    held = queries.unionByName(members).join(sets, "digest").select("block", "a", "part", "b", "grams")
 
     def run(table: pa.Table) -> pa.Table:
         groups: dict = {}
@@ -320,17 +339,21 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
             right += [names[i] for i in similar]
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    return queries.unionByName(members).groupBy("block").applyInArrow(run, "a long, b long")
+    return held.groupBy("block").applyInArrow(run, "a long, b long")
 
 
 def unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of sets of one large meeting that lie in different components."""
+    """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
+
+    Pairs that share an n-gram of a small meeting too are among the candidates already.
+    """
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
     member = member.join(mixed_ones, "meeting")
     one, two = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("low").alias("lb"))
-    fits = f"least(pa, pb) + least(na - pa, nb - pb) >= ceil({NUM} * (na + nb) / {NUM + DEN})"
-    return one.join(two, "meeting").where("a < b and la <> lb").where(fits).select("a", "na", "b", "nb").distinct()
+    fits = f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED}"
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(fits).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared"))
+    return met.where(f"shared + {BEHIND} >= {NEED}").select("a", "b")
 
 
 def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -343,25 +366,31 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     first = stored(digested(docs, order, width, shards), "digests")
     sets = first.where("kind = 0").select("doc_id", "digest", F.col("n").cast("long").alias("n"))
     met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
+    sets = stored(sets, "sets")
+    discard(first)
+    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place"), "large")
     pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
+    discard(met)
     reps = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
 
     def checked(pairs: DataFrame) -> DataFrame:
         needed = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-        held = stored(sets_of(docs, reps.join(needed, "digest"), order, width).dropDuplicates(["digest"]), "sets")
-        return stored(verified(pairs.select("a", "b"), held, shards), "edges")
+        return stored(verified(pairs, sets_of(docs, reps.join(needed, "digest"), order, width), shards), "edges")
 
-    edges = checked(pairs)
+    chosen = stored(likely(pairs, large), "chosen")
+    edges = checked(chosen)
     labels = components(edges)
-    more = stored(unsettled(met.where("kind = 1").select("meeting", "digest", "n", "place"), labels).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = stored(unsettled(large, labels).join(pairs, ["a", "b"], "left_anti"), "more")
+    discard(pairs, large, chosen)
     if not more.isEmpty():
         labels = components(edges.unionByName(checked(more)))
+    discard(more, edges)
     return sets.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), "digest", F.coalesce("low", "digest").alias("component"))
 
 
 def groups(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id, the least doc_id that links reach, for every row."""
-    rows = stored(join(docs, width), "groups")
+    rows = join(docs, width)
     least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
