@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, katz, kneser_ney, language_id, phrase_index, quality_ratio, shingle_join, unigram_counts
+from . import byte_bpe, html_text, katz, kneser_ney, language_id, line_dedup, phrase_index, quality_ratio, shingle_join, unigram_counts
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -52,6 +52,10 @@ def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.groups(read(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_shingle_join": op8_shingle_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
