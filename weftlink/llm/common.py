@@ -72,7 +72,7 @@ def discard(*tables: DataFrame) -> None:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._weftlink_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    SparkSession.getActiveSession()._jvm.System.gc()
 
 
 def shard_count(spark: SparkSession) -> int:

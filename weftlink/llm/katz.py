@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED_WORD, U64, crc_remainder, cut, hash_bytes, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
+from .common import LOWER, SPACED_WORD, U64, crc_remainder, cut, discard, hash_bytes, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
 
 #: Counts up to K are discounted.
 K = 5
@@ -146,8 +146,8 @@ def unigrams(table: DataFrame, texts: int) -> Unigrams:
         if held + r["n"] > FREQUENT:
             break
         held, least = held + r["n"], r["step"]
-    own = table.withColumn("step", step).where(F.col("step") >= least).select("word", "c").toPandas() if least is not None else None
-    words, counts = (own["word"].to_numpy().view(np.uint64), own["c"].to_numpy()) if own is not None else (np.zeros(0, U64), np.zeros(0, np.int64))
+    own = table.withColumn("step", step).where(F.col("step") >= least).select("word", "c").toArrow() if least is not None else None
+    words, counts = (own["word"].to_numpy().view(np.uint64), own["c"].to_numpy().astype(np.int32)) if own is not None else (np.zeros(0, U64), np.zeros(0, np.int64))
     return Unigrams(total, vocabulary, texts, d, freed, words, counts)
 
 
@@ -210,10 +210,11 @@ def occurrences(docs: DataFrame, shared, shards: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
-def evaluate(model: Unigrams, shards: int, h, w, cw, row, batch, train):
+def evaluate(model: Unigrams, shards: int, h, w, cw, row, batch, train, names):
     """Count the pairs of a shard and give packed rows: 'part' by batch, 'sum' and 'event' by history's shard, 'coc'.
 
-    h, w name the pairs (w in any numbering), cw is the count of w; row, batch and train tell each token's document.
+    h, w name the pairs (w in any numbering), cw is the count of w; row, batch (its number in names) and train tell each
+    token's document.
     """
     order = np.lexsort((w, h))
     h, w, cw, row, batch, train = h[order], w[order], cw[order], row[order], batch[order], train[order]
@@ -236,23 +237,23 @@ def evaluate(model: Unigrams, shards: int, h, w, cw, row, batch, train):
     for b, (rows, values, counts) in _by_batch(batch, row, value, small):
         docs, at = np.unique(rows, return_inverse=True)
         table = np.bincount(at * (K + 1) + counts, minlength=len(docs) * (K + 1)).reshape(len(docs), K + 1)
-        add("part", b, docs.astype(np.uint16), np.bincount(at, values), *(table[:, r].astype(np.uint32) for r in range(1, K + 1)))
+        add("part", int(names[b]), docs.astype(np.uint16), np.bincount(at, values), *(table[:, r].astype(np.uint32) for r in range(1, K + 1)))
     held = c_pair > 0
     hp, cp, pp = h[first][held], c_pair[held], p[first][held]
     at = runs(hp)
     if len(hp):
         start = at[:-1]
         stats = [np.add.reduceat(x, start) for x in (cp, *((cp == r).astype(np.int64) for r in range(1, K + 1)), np.where(cp > K, cp, 0), pp)]
-        names = hp[start]
-        for s, own in _dealt(cut(mixed(names), shards), shards, names, *stats):
+        after = hp[start]
+        for s, own in _dealt(cut(mixed(after), shards), shards, after, *stats):
             add("sum", s, own[0], *(x.astype(np.uint32) for x in own[1:-1]), own[-1])
         whole = stats[0] == stats[K + 1]  # here all that follows h is frequent, so perhaps nothing is freed
-        lost = np.isin(h, names[whole]) & seen
+        lost = np.isin(h, after[whole]) & seen
     else:
         lost = np.zeros(len(h), dtype=bool)
     for mask, sign in ((~seen, 1), (lost, 0)):
         for s, (hs, bs, rs) in _dealt(cut(mixed(h[mask]), shards), shards, h[mask], batch[mask], row[mask]):
-            add("event", s, hs, bs, rs.astype(np.uint16), np.full(len(hs), sign, dtype=np.uint8))
+            add("event", s, hs, names[bs], rs.astype(np.uint16), np.full(len(hs), sign, dtype=np.uint8))
     add("coc", -1, np.array([(c_pair == r).sum() for r in range(1, K + 2)], dtype=np.int64))
     return kinds, keys, blocks
 
@@ -265,41 +266,46 @@ def _by_batch(batch, row, *columns):
         yield int(batch[own[0]]), [x[own] for x in (row, *columns)]
 
 
-def of_histories(shared, shards: int):
+def of_histories(model: Unigrams, shards: int, blocks) -> tuple[list, list, list]:
     """Pairs that end in a frequent word, by history."""
+    parts = [unpack(b.as_py()) for b in blocks]
+    names = np.array([p[5][0] for p in parts])
+    batch = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[2]) for p in parts])
+    train = np.concatenate([p[4][p[3]] for p in parts])
+    h, w, row = np.concatenate([np.repeat(p[0], p[1]) for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+    del parts
+    return evaluate(model, shards, h, w, model.counts[w].astype(np.int64), row, batch, train, names)
 
-    def run(table: pa.Table) -> pa.Table:
-        model: Unigrams = shared.value
-        parts = [unpack(b.as_py()) for b in table.column("block")]
-        h = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-        w = np.concatenate([p[2] for p in parts])
-        row = np.concatenate([p[3] for p in parts])
-        batch = np.concatenate([np.full(len(p[2]), p[5][0]) for p in parts])
-        train = np.concatenate([p[4][p[3]] for p in parts])
-        return pa.Table.from_batches([_rows(*evaluate(model, shards, h, w, model.counts[w], row, batch, train))])
-
-    return run
 
-
-def of_words(shared, shards: int):
+def of_words(model: Unigrams, shards: int, blocks) -> tuple[list, list, list]:
     """Pairs that end in a rare word, by that word; its count, and all that hangs on it, is found here."""
+    parts = [unpack(b.as_py()) for b in blocks]
+    names = np.array([p[4][0] for p in parts])
+    batch = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
+    train = np.concatenate([p[3][p[2]] for p in parts])
+    w, h, row = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    del parts
+    words, at = np.unique(w, return_inverse=True)
+    cw = np.bincount(at, train, minlength=len(words)).astype(np.int64)[at]
+    kinds, keys, out = evaluate(model, shards, h, at.astype(np.int32), cw, row, batch, train, names)
+    spent = np.where(cw > 0, -np.log10(np.maximum(cw, 1)), 0.0)  # each word is the history of the next token
+    for b, (rows, known, base, left) in _by_batch(batch, row, (cw > 0).astype(np.int64), model.base(cw), spent):
+        docs, which = np.unique(rows, return_inverse=True)
+        kinds.append("word")
+        keys.append(int(names[b]))
+        out.append(pack(docs.astype(np.uint16), np.bincount(which, known).astype(np.uint32), np.bincount(which, base), np.bincount(which, left)))
+    return kinds, keys, out
+
+
+def evaluated(shared, shards: int):
+    """What a shard's pairs come to; what a task knew of its documents passes through."""
 
     def run(table: pa.Table) -> pa.Table:
-        model: Unigrams = shared.value
-        parts = [unpack(b.as_py()) for b in table.column("block")]
-        w, h, row = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        batch = np.concatenate([np.full(len(p[0]), p[4][0]) for p in parts])
-        train = np.concatenate([p[3][p[2]] for p in parts])
-        words, at = np.unique(w, return_inverse=True)
-        cw = np.bincount(at, train, minlength=len(words)).astype(np.int64)[at]
-        kinds, keys, blocks = evaluate(model, shards, h, at, cw, row, batch, train)
-        spent = np.where(cw > 0, -np.log10(np.maximum(cw, 1)), 0.0)  # each word is the history of the next token
-        for b, (rows, known, base, left) in _by_batch(batch, row, (cw > 0).astype(np.int64), model.base(cw), spent):
-            docs, which = np.unique(rows, return_inverse=True)
-            kinds.append("word")
-            keys.append(b)
-            blocks.append(pack(docs.astype(np.uint16), np.bincount(which, known).astype(np.uint32), np.bincount(which, base), np.bincount(which, left)))
-        return pa.Table.from_batches([_rows(kinds, keys, blocks)])
+        kind = table.column("kind")[0].as_py()
+        if kind == "doc":
+            return table
+        step = of_histories if kind == "h" else of_words
+        return pa.Table.from_batches([_rows(*step(shared.value, shards, table.column("block")))])
 
     return run
 
@@ -373,17 +379,18 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shards = shard_count(spark)
+    shards = 2 * shard_count(spark)
     texts = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, F.lit(True))).count()
-    model = unigrams(stored(word_counts(docs), "words"), texts)
+    words = stored(word_counts(docs), "words")
+    model = unigrams(words, texts)
     shared = spark.sparkContext.broadcast(model)  # FREQUENT words at most
-    first = stored(occurrences(docs, shared, shards), "occurrences")
-    pairs = [first.where(F.col("kind") == kind).groupBy("key").applyInArrow(of(shared, shards), PACKED) for kind, of in (("h", of_histories), ("w", of_words))]
-    second = stored(pairs[0].unionByName(pairs[1]), "evaluated")
+    discard(words)
+    second = stored(occurrences(docs, shared, shards).groupBy("kind", "key").applyInArrow(evaluated(shared, shards), PACKED), "evaluated")
+    discard()
     counted = np.zeros(K + 1, dtype=np.int64)
     for r in second.where("kind = 'coc'").select("block").collect():  # one short row for each shard
         counted += unpack(r["block"])[0]
     d = discounts({i + 1: int(x) for i, x in enumerate(counted)})
     back = second.where("kind in ('sum', 'event')").groupBy("key").applyInArrow(backoffs(d), PACKED)
-    parts = first.where("kind = 'doc'").unionByName(second.where("kind in ('part', 'word')")).unionByName(back)
+    parts = second.where("kind in ('doc', 'part', 'word')").unionByName(back)
     return parts.groupBy("key").applyInArrow(totals(d, model.total), RESULT)
