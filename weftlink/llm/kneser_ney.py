@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, passes, prepare, runs, stored
+from .common import U64, discard, mixed, passes, prepare, runs, stored
 
 ORDER = 5
 QUANTILE = 0.995
 #: Added to each quantile of log perplexity, since the trusted documents are in the model's own training text.
 SLACK = 0.05
 LEAST_TRUSTED = 20
-BROADCAST_GRAMS = 4_000_000
+BROADCAST_GRAMS = 2_500_000
 BROADCAST_IDS = 1_000_000
 #: Stands ORDER - 1 times before every text.
 START = 2
@@ -135,16 +135,18 @@ def fit(texts: DataFrame) -> DataFrame:
         own = gammas[n].withColumnRenamed("gram", "g")
         rows = rows.unionByName(out[n - 1].join(own, F.col("gram") == F.col("g"), "full").select(F.coalesce("gram", "g").alias("gram"), "p", "gamma"))
     empty = gammas[0].select("gram", (F.col("gamma") * uniform).alias("p"), "gamma")
-    return stored(rows.unionByName(empty), "model")
+    model = stored(rows.unionByName(empty), "model")
+    discard(*tables.values(), *out)
+    return model
 
 
 class Table:
     """Open-addressing hash table from 64-bit hashes to two floats."""
 
     def __init__(self, hashes: np.ndarray, logp: np.ndarray, gamma: np.ndarray):
-        bits = max(10, int(np.ceil(np.log2(max(len(hashes), 1) * 3))))
+        bits = max(10, int(np.ceil(np.log2(max(len(hashes), 1) * 1.6))))
         self.shift, size = U64(64 - bits), 1 << bits
-        self.slots, self.logp, self.gamma = np.zeros(size, dtype=U64), np.zeros(size, np.float64), np.zeros(size, np.float64)
+        self.slots, self.logp, self.gamma = np.zeros(size, dtype=U64), np.zeros(size, np.float32), np.zeros(size, np.float32)
         self.probes = 0
         left, slot = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
         while len(left):
@@ -172,24 +174,40 @@ class Table:
         return out
 
 
-def compiled(model: DataFrame) -> tuple[Table, float]:
-    """The model as one table; the caller has checked its size."""
-    rows = model.toPandas()
-    unseen = rows.loc[rows["gram"] == "", "p"]
-    rows = rows[rows["gram"] != ""]
-    hashes = np.zeros(len(rows), dtype=U64)
-    sizes = rows["gram"].str.len().to_numpy()
-    for n in range(1, ORDER + 1):
-        own = np.flatnonzero(sizes == n)
-        if len(own):
-            chars = np.array(rows["gram"].to_numpy()[own], dtype=f"<U{n}").view(np.uint32).reshape(-1, n)
-            h = np.full(len(own), n, dtype=U64)
-            for k in range(n):
-                h = mixed(h * _FACTOR + chars[:, k].astype(U64))
-            hashes[own] = h
-    logp = np.log(rows["p"].astype(float).to_numpy())  # null for a context that holds start marks only
-    gamma = np.log(rows["gamma"].astype(float).fillna(1.0).to_numpy())
-    return Table(hashes, logp, gamma), float(np.log(unseen.iloc[0])) if len(unseen) else 0.0
+class Compiled:
+    """The model as compact arrays; the table is built once in each worker."""
+
+    def __init__(self, hashes: np.ndarray, logp: np.ndarray, gamma: np.ndarray, unseen: float):
+        self.arrays, self.unseen, self.built = (hashes, logp, gamma), unseen, None
+
+    def table(self) -> Table:
+        if self.built is None:
+            self.built, self.arrays = Table(*self.arrays), None
+        return self.built
+
+
+def compiled(model: DataFrame) -> Compiled:
+    """Hash, log p and log gamma of each n-gram; the caller has checked the size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = np.array(batch.column(0).to_pylist(), dtype=f"<U{ORDER}")
+            sizes = np.char.str_len(grams)
+            hashes = np.zeros(len(grams), dtype=U64)
+            for n in range(1, ORDER + 1):
+                own = np.flatnonzero(sizes == n)
+                chars = grams[own].astype(f"<U{n}").view(np.uint32).reshape(-1, n)
+                h = np.full(len(own), n, dtype=U64)
+                for k in range(n):
+                    h = mixed(h * _FACTOR + chars[:, k].astype(U64))
+                hashes[own] = h
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column(1), batch.column(2)], ["h", "logp", "gamma"])
+
+    logs = model.where("gram <> ''").select("gram", F.log("p").cast("float").alias("logp"), F.log(F.coalesce("gamma", F.lit(1.0))).cast("float").alias("gamma"))
+    rows = logs.mapInArrow(run, "h long, logp float, gamma float").toArrow()
+    unseen = model.where("gram = ''").select(F.log("p")).first()
+    # log p is missing for a context that holds start marks only
+    return Compiled(rows["h"].to_numpy().view(np.uint64), rows["logp"].to_numpy().astype(np.float32), rows["gamma"].to_numpy().astype(np.float32), unseen[0] if unseen and unseen[0] is not None else 0.0)
 
 
 def log_probabilities(chars: np.ndarray, table: Table, unseen: float) -> np.ndarray:
@@ -219,7 +237,7 @@ def scored_by_broadcast(docs: DataFrame, model: DataFrame) -> DataFrame:
     schema = frame.drop("text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, unseen = shared.value
+        table, unseen = shared.value.table(), shared.value.unseen
         for batch in batches:
             n_chars, sums = [], []
             for _, _, data, at in passes(batch.column("text")):

@@ -116,7 +116,7 @@ def frequent(docs: DataFrame, width: int) -> Order:
             yield pa.RecordBatch.from_arrays([pa.array(every[at[:-1][again]].view(np.int64)), pa.array(n[again])], ["gram", "n"])
 
     rows = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = rows.where(f"n > {MEETING}").orderBy(F.desc("n"), "gram").limit(FREQUENT).toPandas()
+    top = rows.where(f"n > {MEETING}").orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toArrow()
     return Order(top["gram"].to_numpy()[::-1].copy().view(np.uint64))
 
 
