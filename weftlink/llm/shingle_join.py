@@ -155,17 +155,17 @@ class PrefixTree:
         return out
 
 
-def pairs_of_meetings(keys, ids, sizes, places):
-    """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set).
+def pairs_of_meetings(keys, ids, sizes, places, maps):
+    """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set, bitmap).
 
     Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
-    meetings: sets, sizes, places and n-grams.
+    meetings: sets, sizes, places, n-grams and bitmaps.
     """
     order = np.lexsort((ids, keys))
     keys, ids, sizes, places = keys[order], ids[order], sizes[order], places[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-    keys, ids, sizes, places, order = keys[fresh], ids[fresh], sizes[fresh], places[fresh], order[fresh]
+    keys, ids, sizes, places, maps = keys[fresh], ids[fresh], sizes[fresh], places[fresh], maps[order][fresh]
     at = runs(keys)
     n = np.diff(at)
     left, right, big, small = [], [], [], []
@@ -183,30 +183,52 @@ def pairs_of_meetings(keys, ids, sizes, places):
         big.append(np.arange(low, low + m))
     none = np.zeros(0, dtype=np.int64)
     a, b, small = np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(small or [none])
-    keep = possible(sizes[a], places[a], sizes[b], places[b])
-    a, b, small = a[keep], b[keep], small[keep]
+    first = foremost(sizes[a], places[a], sizes[b], places[b])
+    keep = (first | (small == 1)) & alike(sizes[a], maps[a], sizes[b], maps[b])
+    a, b, small, first = a[keep], b[keep], small[keep], first[keep]
     big = np.concatenate(big or [none])
-    return (ids[a], sizes[a], ids[b], sizes[b], small), (ids[big], sizes[big], places[big], keys[big])
+    return (ids[a], sizes[a], ids[b], sizes[b], small, first.astype(np.int64)), (ids[big], sizes[big], places[big], keys[big], maps[big])
 
 
-def possible(size_a, place_a, size_b, place_b):
-    """Length and positional filters: what comes before and after the common n-gram can still reach the overlap."""
-    most = np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b)
-    return most >= need(size_a, size_b)
+#: Sets of up to so many n-grams have a bitmap of all of them, larger ones of their first ones.
+SMALL = 48
 
 
-def distinct_pairs(a, size_a, b, size_b, shared):
-    """Each pair once, with the sum of ``shared``: the n-grams of small meetings that it shares."""
+def bitmap(keys: np.ndarray) -> int:
+    """64 bits, one for each class of the n-grams that the bitmap of an ordered set covers."""
+    own = keys if len(keys) <= SMALL else keys[: prefix_length(len(keys))]
+    return int(np.bitwise_or.reduce(U64(1) << (own & U64(63))))
+
+
+def alike(size_a, map_a, size_b, map_b):
+    """Whether bitmaps allow the overlap: each bit that one set alone has is an n-gram that they do not share."""
+    first_a, first_b, wanted = prefix_length(size_a), prefix_length(size_b), need(size_a, size_b)
+    whole = np.bitwise_count(map_a ^ map_b).astype(np.int64) <= size_a + size_b - 2 * wanted
+    most = np.minimum(first_a - np.bitwise_count(map_a & ~map_b).astype(np.int64), first_b - np.bitwise_count(map_b & ~map_a).astype(np.int64))
+    part = most >= wanted - np.maximum(size_a - first_a, size_b - first_b)
+    return np.where(np.maximum(size_a, size_b) <= SMALL, whole, (np.minimum(size_a, size_b) <= SMALL) | part)
+
+
+def foremost(size_a, place_a, size_b, place_b):
+    """Length and positional filter: whether the n-gram can be the first that a similar pair has in common.
+
+    Nothing before it is shared then, so what follows in either set must make up the whole overlap.
+    """
+    return np.minimum(size_a - place_a, size_b - place_b) >= need(size_a, size_b)
+
+
+def distinct_pairs(a, size_a, b, size_b, *sums):
+    """Each pair once, with the sums of further columns: shared n-grams of small meetings, and those that may be its first."""
     order = np.lexsort((b, a))
-    a, size_a, b, size_b, shared = a[order], size_a[order], b[order], size_b[order], shared[order]
+    a, size_a, b, size_b = a[order], size_a[order], b[order], size_b[order]
     fresh = np.ones(len(a), dtype=bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    total = np.add.reduceat(shared.astype(np.int64), np.flatnonzero(fresh)) if len(a) else shared.astype(np.int64)
-    return a[fresh], size_a[fresh], b[fresh], size_b[fresh], total
+    at = np.flatnonzero(fresh)
+    return a[fresh], size_a[fresh], b[fresh], size_b[fresh], *(np.add.reduceat(x[order].astype(np.int64), at) if len(a) else x.astype(np.int64) for x in sums)
 
 
 ENTRY = "kind int, doc_id long, digest long, n int, shard int, block binary"
-MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int"
+MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int, bits long"
 
 
 def _batch(schema: str, rows: int, **columns) -> pa.RecordBatch:
@@ -222,14 +244,16 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Order = order.value
         for batch in batches:
-            digests, sizes, firsts, seen = [], [], [], {}
+            digests, sizes, firsts, maps, seen = [], [], [], [], {}
             for grams in shingles(batch.column(1), width):
                 d = digest(grams) if len(grams) else None
                 digests.append(d)
                 sizes.append(len(grams))
                 if d is not None and (d, len(grams)) not in seen:
                     seen[d, len(grams)] = len(firsts)
-                    firsts.append(known.keys(grams)[: prefix_length(len(grams))])
+                    keys = known.keys(grams)
+                    firsts.append(keys[: prefix_length(len(keys))])
+                    maps.append(bitmap(keys))
             yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes)
             if not firsts:
                 continue
@@ -239,13 +263,13 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
             to = cut(mixed(keys), shards)
             rank = np.lexsort((keys, to))
             bounds = np.searchsorted(to[rank], np.arange(shards + 1))
-            ids, size = np.array([k[0] for k in seen], dtype=np.int64), np.array([k[1] for k in seen], dtype=np.int32)
+            ids, size, bits = np.array([k[0] for k in seen], dtype=np.int64), np.array([k[1] for k in seen], dtype=np.int32), np.array(maps, dtype=U64)
             held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
             blocks = []
             for s in held:
                 own = rank[bounds[s] : bounds[s + 1]]
                 sets, local = np.unique(of[own], return_inverse=True)
-                blocks.append(pack(keys[own], local.astype(np.uint16), place[own].astype(np.uint32), ids[sets], size[sets]))
+                blocks.append(pack(keys[own], local.astype(np.uint16), place[own].astype(np.uint32), ids[sets], size[sets], bits[sets]))
             yield _batch(ENTRY, len(held), kind=[1] * len(held), shard=held, block=blocks)
 
     return docs.select("doc_id", "text").mapInArrow(run, ENTRY)
@@ -257,17 +281,17 @@ def meetings(entries: DataFrame, shards: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         parts = []
         for block in table.column("block"):
-            keys, local, place, ids, size = unpack(block.as_py())
-            parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64)))
-        pairs, (ids, sizes, places, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        a, sa, b, sb, shared = distinct_pairs(*pairs)
+            keys, local, place, ids, size, bits = unpack(block.as_py())
+            parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local]))
+        pairs, (ids, sizes, places, keys, bits) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        a, sa, b, sb, shared, first = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
         rank = np.argsort(to, kind="stable")
         bounds = np.searchsorted(to[rank], np.arange(shards + 1))
         held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
-        blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
+        blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32), np.minimum(first[own], 255).astype(np.uint8)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
         out = [_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks)]
-        out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32)))
+        out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32), bits=bits.view(np.int64)))
         return pa.Table.from_batches(out)
 
     return entries.groupBy("shard").applyInArrow(run, MEET)
@@ -278,8 +302,9 @@ def candidate_pairs(packed: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x.as_py()) for x in table.column("block")]
-        a, sa, b, sb, shared = distinct_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        return pa.table({"a": a, "na": sa, "b": b, "nb": sb, "shared": shared})
+        a, sa, b, sb, shared, first = distinct_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        rows = pa.table({"a": a, "na": sa, "b": b, "nb": sb, "shared": shared})
+        return rows.filter(pa.array(first > 0))
 
     return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long")
 
@@ -345,15 +370,22 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
 def unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
 
-    Pairs that share an n-gram of a small meeting too are among the candidates already.
+    A similar pair whose first common n-gram is one of a small meeting is among the candidates already; so its first
+    common n-gram is one of these, and the positional filter can ask for that.
     """
+    # Of meetings with the same members (the n-grams of one shared passage) the first in the order is enough: what a pair has
+    # in common in any of them it has in that one, and earlier.
+    who = large.groupBy("meeting").agg(F.count("*").alias("x1"), F.bit_xor(F.xxhash64("digest")).alias("x2"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 32)).alias("x3"))
+    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"))
+    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting")), "meeting")
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
     member = member.join(mixed_ones, "meeting")
-    one, two = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("low").alias("lb"))
-    fits = f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED}"
-    met = one.join(two, "meeting").where("a < b and la <> lb").where(fits).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared"))
-    return met.where(f"shared + {BEHIND} >= {NEED}").select("a", "b")
+    one, two = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("low").alias("lb"))
+    first_a, first_b = f"(na + floor(-{NUM} * na / {DEN}) + 1)", f"(nb + floor(-{NUM} * nb / {DEN}) + 1)"
+    part = f"least({first_a} - bit_count(sa & ~sb), {first_b} - bit_count(sb & ~sa)) >= {NEED} - greatest(na - {first_a}, nb - {first_b})"
+    fits = f"least(na - pa, nb - pb) >= {NEED} and case when greatest(na, nb) <= {SMALL} then bit_count(sa ^ sb) <= na + nb - 2 * {NEED} when least(na, nb) > {SMALL} then {part} else true end"
+    return one.join(two, "meeting").where("a < b and la <> lb").where(fits).select("a", "b").distinct()
 
 
 def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -368,7 +400,7 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
     sets = stored(sets, "sets")
     discard(first)
-    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place"), "large")
+    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place", "bits"), "large")
     pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
     discard(met)
     reps = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
