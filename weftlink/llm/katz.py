@@ -31,12 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED_WORD, U64, crc_remainder, cut, discard, hash_bytes, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
+from .common import LOWER, SPACED_WORD, U64, crc_remainder, cut, discard, hash_bytes, mixed, pack, passes, prepare, runs, spans, stored, unpack, word_hashes
 
 #: Counts up to K are discounted.
 K = 5
 #: Words whose counts every task holds.
 FREQUENT = 1 << 19
+#: Training tokens for each shard of word pairs: what a task holds at once.
+SHARD_TOKENS = 1_000_000
 #: Distinct words that a task counts before it passes them on.
 HELD = 1 << 20
 #: Fixed 64-bit names of the end token and the start mark; no word contains a blank.
@@ -379,10 +381,10 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shards = 2 * shard_count(spark)
     texts = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, F.lit(True))).count()
     words = stored(word_counts(docs), "words")
     model = unigrams(words, texts)
+    shards = 2 + model.total // SHARD_TOKENS
     shared = spark.sparkContext.broadcast(model)  # FREQUENT words at most
     discard(words)
     second = stored(occurrences(docs, shared, shards).groupBy("kind", "key").applyInArrow(evaluated(shared, shards), PACKED), "evaluated")
