@@ -23,7 +23,7 @@ alike; a null id comes first; other columns are left alone.  Sets and words are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, stored
@@ -54,7 +54,7 @@ def prefix(n: str) -> str:
 
 def rarity(docs: DataFrame) -> Column:
     """Rank of each cell of words, the rarest first, as a literal array of fixed length."""
-    held = docs.select(F.explode(F.expr(_sql(f"transform(array_remove(split(lower(text), '{_SPACE}'), ''), w -> cast(xxhash64(w) & {BUCKETS - 1} as int))"))).alias("b"))
+    held = docs.select(F.explode(F.split(F.lower("text"), _SPACE)).alias("w")).where("w <> ''").select(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b"))
     counts = {r["b"]: r["n"] for r in held.groupBy("b").agg(F.count("*").alias("n")).collect()}  # BUCKETS rows at most
     ranks = [0] * BUCKETS
     for rank, b in enumerate(sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))):
@@ -65,8 +65,8 @@ def rarity(docs: DataFrame) -> Column:
 def line_table(docs: DataFrame) -> DataFrame:
     """A row for each line: doc_id, th (hash of the text), line, sid (digest of its set), n, sig (bitmap), first (first words)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "value"))
-    rows = rows.select("doc_id", "th", "line", F.expr(_sql(words("value"))).alias("w")).withColumn("ranks", rarity(docs))
-    ordered = "sort_array(transform(w, x -> shiftleft(get(ranks, cast(x & 65535 as int)), 48) | shiftrightunsigned(x, 16)))"
+    rows = rows.withColumn("w", F.split(F.lower("value"), _SPACE)).withColumn("ranks", rarity(docs))
+    ordered = "sort_array(array_distinct(transform(array_remove(w, ''), x -> shiftleft(get(ranks, cast(xxhash64(x) & 65535 as int)), 48) | shiftrightunsigned(xxhash64(x), 16))))"
     rows = rows.select("doc_id", "th", "line", F.expr(ordered).alias("w")).select("*", F.size("w").alias("n"))
     rows = rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), "w", F.expr(f"case when n < 3 then cast(array() as array<bigint>) else slice(w, 1, {prefix('n')}) end").alias("first"))
     bits = f"aggregate(case when n <= {SMALL} then w else first end, 0L, (s, x) -> s | shiftleft(1L, cast(x & 63 as int)))"
@@ -91,12 +91,11 @@ def candidates(table: DataFrame, firsts: DataFrame) -> DataFrame:
     rows = rows.where("often is null or own = struct(doc_id, th, line)")
     entries = rows.select("sid", "n", "sig", F.struct("doc_id", "th").alias("at"), F.posexplode("first").alias("pos", "tok"))
     entries = entries.select("tok", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("sig").alias("sa"), F.col("at.doc_id").alias("doc"))
-    from pyspark.sql import Window
-
     over = Window.partitionBy("tok")
-    met = entries.select("*", F.count("*").over(over).alias("meet"), F.min(F.struct("doc", "a", "na", "pa", "sa")).over(over).alias("lead")).where("meet > 1")
-    other = met.where(f"meet <= {MEETING}").select("tok", *[F.col(f"{x}a").alias(f"{x}b") for x in "nps"], F.col("a").alias("b"))
-    pairs = met.where(f"meet <= {MEETING}").join(other, "tok").where(f"a < b and {fitting()}").select("a", "na", "b", "nb")
+    met = entries.select("*", F.count("*").over(over).alias("meet"), F.min(F.struct("doc", "a", "na", "pa", "sa")).over(over).alias("lead"), F.collect_list(F.struct("a", "na", "pa", "sa")).over(over.orderBy("na", "a").rowsBetween(1 - MEETING, -1)).alias("before")).where("meet > 1")
+    near = fitting().replace("nb", "y.na").replace("pb", "y.pa").replace("sb", "y.sa")
+    pairs = met.where(f"meet <= {MEETING}").select("a", "na", F.explode(F.expr(f"filter(before, y -> y.a <> a and {near})")).alias("y"))
+    pairs = pairs.select(F.least("a", "y.a").alias("x"), F.when(F.col("a") < F.col("y.a"), F.col("na")).otherwise(F.col("y.na")).alias("nx"), F.greatest("a", "y.a").alias("y"), F.when(F.col("a") < F.col("y.a"), F.col("y.na")).otherwise(F.col("na")).alias("ny")).toDF("a", "na", "b", "nb")
     led = met.where(f"meet > {MEETING}").select("a", "na", "pa", "sa", F.col("lead.a").alias("b"), F.col("lead.na").alias("nb"), F.col("lead.pa").alias("pb"), F.col("lead.sa").alias("sb"))
     led = led.where(f"a <> b and {fitting()}").select(F.least("a", "b").alias("x"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nx"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("ny")).toDF("a", "na", "b", "nb")
     both = pairs.unionByName(led).distinct().select(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("tok"), "a", "na", F.lit(None).cast("int").alias("pa"), F.lit(None).cast("long").alias("sa"), "b", "nb")
