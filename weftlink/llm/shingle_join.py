@@ -298,15 +298,15 @@ def meetings(entries: DataFrame, shards: int) -> DataFrame:
 
 
 def candidate_pairs(packed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, na, b, nb) out of the packed ones, with the number of n-grams they share in small meetings."""
+    """Distinct pairs (a, na, b, nb) out of the packed ones, with the number of n-grams that they share in small meetings,
+    and whether one of their n-grams can be the first in common."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x.as_py()) for x in table.column("block")]
         a, sa, b, sb, shared, first = distinct_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        rows = pa.table({"a": a, "na": sa, "b": b, "nb": sb, "shared": shared})
-        return rows.filter(pa.array(first > 0))
+        return pa.table({"a": a, "na": sa, "b": b, "nb": sb, "shared": shared, "first": first > 0})
 
-    return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long")
+    return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long, first boolean")
 
 
 #: Least overlap, and the n-grams behind the first ones, in SQL.
@@ -319,7 +319,7 @@ def likely(pairs: DataFrame, large: DataFrame) -> DataFrame:
     and at most all of the large meetings of either; the rest of the larger set may be shared."""
     crowd = large.groupBy("digest").agg(F.count("*").alias("crowd"))
     one, two = crowd.select(F.col("digest").alias("a"), F.col("crowd").alias("ca")), crowd.select(F.col("digest").alias("b"), F.col("crowd").alias("cb"))
-    rows = pairs.join(one, "a", "left").join(two, "b", "left").na.fill(0, ["ca", "cb"])
+    rows = pairs.where("first").join(one, "a", "left").join(two, "b", "left").na.fill(0, ["ca", "cb"])
     return rows.where(f"shared + least(ca, cb) + {BEHIND} >= {NEED}").select("a", "b")
 
 
@@ -367,25 +367,29 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     return held.groupBy("block").applyInArrow(run, "a long, b long")
 
 
-def unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
+def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
 
-    A similar pair whose first common n-gram is one of a small meeting is among the candidates already; so its first
-    common n-gram is one of these, and the positional filter can ask for that.
+    A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
+    positional filter asks for that.  What a pair shares among its first n-grams is counted here and, of small meetings, there.
     """
     # Of meetings with the same members (the n-grams of one shared passage) the first in the order is enough: what a pair has
     # in common in any of them it has in that one, and earlier.
     who = large.groupBy("meeting").agg(F.count("*").alias("x1"), F.bit_xor(F.xxhash64("digest")).alias("x2"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 32)).alias("x3"))
-    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"))
-    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting")), "meeting")
+    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"), F.count("*").alias("weight"))
+    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"), "weight"), "meeting")
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
     member = member.join(mixed_ones, "meeting")
-    one, two = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("low").alias("lb"))
+    one, two = member.select("meeting", "weight", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("low").alias("lb"))
     first_a, first_b = f"(na + floor(-{NUM} * na / {DEN}) + 1)", f"(nb + floor(-{NUM} * nb / {DEN}) + 1)"
     part = f"least({first_a} - bit_count(sa & ~sb), {first_b} - bit_count(sb & ~sa)) >= {NEED} - greatest(na - {first_a}, nb - {first_b})"
-    fits = f"least(na - pa, nb - pb) >= {NEED} and case when greatest(na, nb) <= {SMALL} then bit_count(sa ^ sb) <= na + nb - 2 * {NEED} when least(na, nb) > {SMALL} then {part} else true end"
-    return one.join(two, "meeting").where("a < b and la <> lb").where(fits).select("a", "b").distinct()
+    maps = f"case when greatest(na, nb) <= {SMALL} then bit_count(sa ^ sb) <= na + nb - 2 * {NEED} when least(na, nb) > {SMALL} then {part} else true end"
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {maps}")
+    met = met.groupBy("a", "na", "b", "nb").agg(F.sum("weight").alias("shared"), F.max(F.expr(f"least(na - pa, nb - pb) >= {NEED}")).alias("first"))
+    done = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("shared").alias("small"), F.col("first").alias("done"))
+    met = met.where("first").join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").na.fill(0, ["small"]).na.fill(False, ["done"])
+    return met.where(f"not done and shared + small + {BEHIND} >= {NEED}").select("a", "b")
 
 
 def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -412,7 +416,7 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     chosen = stored(likely(pairs, large), "chosen")
     edges = checked(chosen)
     labels = components(edges)
-    more = stored(unsettled(large, labels).join(pairs, ["a", "b"], "left_anti"), "more")
+    more = stored(unsettled(large, labels, pairs), "more")
     discard(pairs, large, chosen)
     if not more.isEmpty():
         labels = components(edges.unionByName(checked(more)))
