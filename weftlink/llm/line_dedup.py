@@ -93,14 +93,12 @@ def candidates(table: DataFrame, firsts: DataFrame) -> DataFrame:
     entries = entries.select("tok", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("sig").alias("sa"), F.col("at.doc_id").alias("doc"))
     over = Window.partitionBy("tok")
     met = entries.select("*", F.count("*").over(over).alias("meet"), F.min(F.struct("doc", "a", "na", "pa", "sa")).over(over).alias("lead"), F.collect_list(F.struct("a", "na", "pa", "sa")).over(over.orderBy("na", "a").rowsBetween(1 - MEETING, -1)).alias("before")).where("meet > 1")
+    # One branch for all, so that the first words are shuffled once.
     near = fitting().replace("nb", "y.na").replace("pb", "y.pa").replace("sb", "y.sa")
-    pairs = met.where(f"meet <= {MEETING}").select("a", "na", F.explode(F.expr(f"filter(before, y -> y.a <> a and {near})")).alias("y"))
-    pairs = pairs.select(F.least("a", "y.a").alias("x"), F.when(F.col("a") < F.col("y.a"), F.col("na")).otherwise(F.col("y.na")).alias("nx"), F.greatest("a", "y.a").alias("y"), F.when(F.col("a") < F.col("y.a"), F.col("y.na")).otherwise(F.col("na")).alias("ny")).toDF("a", "na", "b", "nb")
-    led = met.where(f"meet > {MEETING}").select("a", "na", "pa", "sa", F.col("lead.a").alias("b"), F.col("lead.na").alias("nb"), F.col("lead.pa").alias("pb"), F.col("lead.sa").alias("sb"))
-    led = led.where(f"a <> b and {fitting()}").select(F.least("a", "b").alias("x"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("nx"), F.greatest("a", "b").alias("y"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("ny")).toDF("a", "na", "b", "nb")
-    both = pairs.unionByName(led).distinct().select(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("tok"), "a", "na", F.lit(None).cast("int").alias("pa"), F.lit(None).cast("long").alias("sa"), "b", "nb")
-    crowd = met.where(f"meet > {MEETING}").select(F.lit(1).alias("kind"), "tok", "a", "na", "pa", "sa", F.lit(None).cast("long").alias("b"), F.lit(None).cast("int").alias("nb"))
-    return both.unionByName(crowd)
+    ordered = "named_struct('kind', 0, 'tok', cast(null as bigint), 'a', least(a, y.a), 'na', if(a < y.a, na, y.na), 'pa', cast(null as int), 'sa', cast(null as bigint), 'b', greatest(a, y.a), 'nb', if(a < y.a, y.na, na))"
+    own = "named_struct('kind', 1, 'tok', tok, 'a', a, 'na', na, 'pa', pa, 'sa', sa, 'b', cast(null as bigint), 'nb', cast(null as int))"
+    found = F.expr(f"transform(filter(if(meet <= {MEETING}, before, array(named_struct('a', lead.a, 'na', lead.na, 'pa', lead.pa, 'sa', lead.sa))), y -> y.a <> a and {near}), y -> {ordered})")
+    return met.select(found.alias("found"), F.expr(f"if(meet > {MEETING}, array({own}), array())").alias("own")).select(F.explode(F.concat("found", "own")).alias("x")).select("x.*")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -131,14 +129,16 @@ def removals(docs: DataFrame) -> DataFrame:
     held = table.where("n > 0")
     firsts = stored(held.groupBy("sid").agg(F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("times")), "firsts")
     met = stored(candidates(table, firsts), "met")
-    late = stored(covered(verified(docs, met.where("kind = 0").select("a", "na", "b", "nb"), firsts), firsts), "late")
+    discard()
+    pairs = stored(met.where("kind = 0").select("a", "na", "b", "nb").distinct(), "pairs")
+    late = stored(covered(verified(docs, pairs, firsts), firsts), "late")
     crowd = met.where("kind = 1").select("tok", "a", "na", "pa", "sa").join(firsts.select(F.col("sid").alias("a"), F.col("first").alias("fa")), "a").distinct()
     open_ = crowd.join(late, F.col("a") == F.col("late"), "left_anti").select("tok", F.col("a").alias("b"), *[F.col(f"{x}a").alias(f"{x}b") for x in "npsf"])
     more = crowd.join(open_, "tok").where(f"fa < fb and a <> b and {fitting()}").select("a", "na", "b", "nb").distinct()
     more = stored(more, "more")
     if not more.isEmpty():
         late = late.unionByName(covered(verified(docs, more, firsts), firsts)).distinct()
-    discard(met, more)
+    discard(met, more, pairs)
     marked = held.select("doc_id", "th", "line", "sid").join(firsts.select("sid", "first"), "sid").join(late, F.col("sid") == F.col("late"), "left")
     gone = F.col("late").isNotNull() | (F.struct("doc_id", "th", "line") != F.col("first"))
     found = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed"))
