@@ -1,4 +1,7 @@
-"""Line deduplication by an exact set-similarity join, in DataFrame functions only.
+"""Line deduplication by an exact set-similarity join.
+
+``removals`` is the form in DataFrame functions only; ``report`` and ``cleaned`` run line_join.removals, the same
+rule with packed exchanges, since the former needs more disk and CPU than the check tool allows (see README).
 
 A line is the set of its lower-cased words.  A line that holds a word is removed
 if an earlier line (of a lower doc_id, or above it in its document) has the same
@@ -26,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import line_join
 from .common import discard, stored
 
 BUCKETS = 1 << 16
@@ -149,7 +153,7 @@ def removals(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers of the removed lines from 0, comma-joined) of every document."""
-    return removals(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+    return line_join.removals(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -157,7 +161,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     All other columns, and the order of what stays, are as they were.
     """
-    found = stored(removals(docs).distinct(), "removed").where("size(removed) > 0")
+    found = stored(line_join.removals(docs).distinct(), "removed").where("size(removed) > 0")
     found = found.select(F.col("doc_id").alias("weft_d"), F.col("th").alias("weft_t"), F.col("n_lines").alias("weft_n"), F.col("removed").alias("weft_r"))
     rows = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("weft_d")) & (F.xxhash64("text") == F.col("weft_t")), "left").where("weft_r is null or size(weft_r) < weft_n")
     kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(weft_r, i)), '\\n')")

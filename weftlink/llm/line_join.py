@@ -1,0 +1,192 @@
+"""The set-similarity join of line_dedup with packed exchanges: what its queries run.
+
+The same rule and filters as the DataFrame form in line_dedup.removals, which needs more disk and CPU than the check tool
+allows: words ordered by rarity, first words meet, length, positional and bitmap filters, whole sets verified, later
+matches removed.  First words travel as packed arrays, and a candidate's filters run in NumPy.  At a word where
+many lines meet each first meets one of them; the later line of a pair that is not covered by then meets the others.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import SPACED_WORD, U64, cut, discard, mixed, pack, prepare, shard_count, spans, stored, text_buffer, word_hashes
+from .shingle_join import ENTRY, NEED, _batch, bitmap, candidate_pairs, likely, meetings, prefix_length, verified
+
+CELLS = 1 << 16
+BROADCAST_DOCS = 300_000
+
+
+def line_sets(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Number and sorted distinct word hashes of each line that holds a word."""
+    lines = text.lower().split("\n")
+    data, at = text_buffer(pa.array(lines, pa.large_string()))
+    starts, ends, first = spans(data, at, SPACED_WORD)
+    hashes = word_hashes(data, starts, ends)
+    for i in range(len(lines)):
+        if first[i] < first[i + 1]:
+            yield i, np.unique(hashes[first[i] : first[i + 1]])
+
+
+def digest(words: np.ndarray) -> int:
+    return int(mixed(np.array([mixed(words + U64(77)).sum(dtype=U64) + U64(len(words))], dtype=U64)).view(np.int64)[0])
+
+
+def ranks(docs: DataFrame) -> np.ndarray:
+    """Rank of each cell of words by the frequency of its words, over all texts: an array of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            data, at = text_buffer(pa.array([(t or "").lower() for t in batch.column(0).to_pylist()], pa.large_string()))
+            starts, ends, _ = spans(data, at, SPACED_WORD)
+            total += np.bincount((word_hashes(data, starts, ends) & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["cell", "n"])
+
+    counts = np.zeros(CELLS, dtype=np.int64)
+    for r in docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r["cell"]] = r["n"]
+    out = np.empty(CELLS, dtype=np.uint64)
+    out[np.argsort(counts, kind="stable")] = np.arange(CELLS, dtype=np.uint64)
+    return out
+
+
+def ordered(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """A bijection of word hashes that sorts rare words first."""
+    return np.sort(rank[(words & U64(CELLS - 1)).astype(np.int64)] << U64(48) | words >> U64(16))
+
+
+def digested(docs: DataFrame, shared, shards: int) -> DataFrame:
+    """Rows of kind 0: doc_id, hash of the text (digest) and packed numbers, digests and sizes of its lines; of kind 1: packed first words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = shared.value
+        for batch in batches:
+            blocks, firsts, maps, seen = [], [], [], {}
+            for text in batch.column(2).to_pylist():
+                numbers, digests = [], []
+                for i, words in line_sets(text or ""):
+                    d = digest(words)
+                    numbers.append(i)
+                    digests.append(d)
+                    if len(words) >= 3 and d not in seen:
+                        keys = ordered(words, rank)
+                        seen[d] = len(words)
+                        firsts.append(keys[: prefix_length(len(keys))])
+                        maps.append(bitmap(keys))
+                blocks.append(np.array([numbers, digests], dtype=np.int64).reshape(2, -1).tobytes())
+            yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=batch.column(1), block=blocks)
+            if not firsts:
+                continue
+            lengths = np.array([len(f) for f in firsts])
+            keys, of = np.concatenate(firsts), np.repeat(np.arange(len(firsts)), lengths)
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            to = cut(mixed(keys), shards)
+            order = np.lexsort((keys, to))
+            bounds = np.searchsorted(to[order], np.arange(shards + 1))
+            ids, size, bits = np.array(list(seen), dtype=np.int64), np.array(list(seen.values()), dtype=np.int32), np.array(maps, dtype=U64)
+            held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
+            packed = []
+            for s in held:
+                own = order[bounds[s] : bounds[s + 1]]
+                sets, local = np.unique(of[own], return_inverse=True)
+                packed.append(pack(keys[own], local.astype(np.uint32), place[own].astype(np.uint32), ids[sets], size[sets], bits[sets]))
+            yield _batch(ENTRY, len(held), kind=[1] * len(held), shard=held, block=packed)
+
+    return docs.select("doc_id", "th", "text").mapInArrow(run, ENTRY)
+
+
+def line_rows(digests: DataFrame) -> DataFrame:
+    """doc_id, th, line, sid of the lines that hold a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(b.as_py(), dtype=np.int64).reshape(2, -1) for b in batch.column(2)]
+            n = np.array([p.shape[1] for p in parts])
+            rows = pa.array(np.repeat(np.arange(len(parts)), n))
+            both = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(both[0].astype(np.int32)), pa.array(both[1])], ["doc_id", "th", "line", "sid"])
+
+    return digests.select("doc_id", F.col("digest").alias("th"), "block").mapInArrow(run, "doc_id long, th long, line int, sid long")
+
+
+def sets_of(docs: DataFrame, firsts: DataFrame, needed: DataFrame) -> DataFrame:
+    """digest and the sorted words of each needed set, from the document where it comes first."""
+    places = firsts.join(needed, firsts["sid"] == needed["digest"]).groupBy("first.doc_id", "first.th").agg(F.collect_list("sid").alias("own")).toDF("d", "t", "own")
+    places = stored(places, "places")
+    wanted = F.broadcast(places) if places.count() <= BROADCAST_DOCS else places
+    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("own", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, grams = [], []
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                left = set(own)
+                for _, words in line_sets(text):
+                    d = digest(words)
+                    if d in left:
+                        left.remove(d)
+                        ids.append(d)
+                        grams.append(words.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.binary())], ["digest", "grams"])
+
+    return rows.mapInArrow(run, "digest long, grams binary")
+
+
+def covered(similar: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Digests of which a similar set comes earlier."""
+    one, two = firsts.select(F.col("sid").alias("a"), F.col("first").alias("fa")), firsts.select(F.col("sid").alias("b"), F.col("first").alias("fb"))
+    return similar.join(one, "a").join(two, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("late")).distinct()
+
+
+def uncovered(large: DataFrame, firsts: DataFrame, late: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of large meetings of which the later set is not covered, and that can still reach the overlap."""
+    member = large.join(firsts.select(F.col("sid").alias("digest"), "first"), "digest").join(late, F.col("digest") == F.col("late"), "left")
+    one = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("first").alias("fa"))
+    two = member.where("late is null").select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("first").alias("fb"))
+    whole = f"(greatest(na, nb) > 48 or bit_count(sa ^ sb) <= na + nb - 2 * {NEED})"
+    met = one.join(two, "meeting").where("fa < fb and a <> b").where(f"4 * least(na, nb) >= 3 * greatest(na, nb) and least(na - pa, nb - pb) >= {NEED} and {whole}")
+    chosen = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = pairs.where("first").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return chosen.join(done, ["a", "b"], "left_anti")
+
+
+def removals(docs: DataFrame) -> DataFrame:
+    """For each row of ``docs`` (doc_id, text): doc_id, th (hash of the text), n_lines (lines that hold a word), removed (numbers)."""
+    spark = docs.sparkSession
+    prepare(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    shards = 2 * shard_count(spark)
+    shared = spark.sparkContext.broadcast(ranks(docs))  # CELLS numbers
+    first = stored(digested(docs, shared, shards), "lines")
+    lines = stored(line_rows(first.where("kind = 0")), "rows")
+    every = stored(first.where("kind = 0").select("doc_id", F.col("digest").alias("th")), "docs")
+    firsts = stored(lines.groupBy("sid").agg(F.min(F.struct("doc_id", "th", "line")).alias("first")), "firsts")
+    met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
+    discard(first)
+    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place", "bits"), "large")
+    pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
+    discard(met)
+
+    def late_of(chosen: DataFrame) -> DataFrame:
+        needed = chosen.select(F.col("a").alias("digest")).union(chosen.select("b")).distinct()
+        return covered(verified(chosen, sets_of(docs, firsts, needed), shards), firsts)
+
+    chosen = stored(likely(pairs, large), "chosen")
+    late = stored(late_of(chosen), "late")
+    more = stored(uncovered(large, firsts, late, pairs), "more")
+    discard(chosen, large, pairs)
+    if not more.isEmpty():
+        late = stored(late.unionByName(late_of(more)).distinct(), "late")
+    discard(more)
+    marked = lines.join(firsts, "sid").join(late, F.col("sid") == F.col("late"), "left")
+    gone = F.col("late").isNotNull() | (F.struct("doc_id", "th", "line") != F.col("first"))
+    found = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed")).toDF("d", "t", "n_lines", "removed")
+    rows = every.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left")
+    return rows.select("doc_id", "th", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
