@@ -20,6 +20,8 @@ from .shingle_join import ENTRY, NEED, _batch, bitmap, candidate_pairs, likely,
 
 CELLS = 1 << 16
 BROADCAST_DOCS = 300_000
+#: Lines that meet at a word before each meets one of them only.
+MEETING = 200
 
 
 def line_sets(text: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -168,7 +170,7 @@ def removals(docs: DataFrame) -> DataFrame:
     lines = stored(line_rows(first.where("kind = 0")), "rows")
     every = stored(first.where("kind = 0").select("doc_id", F.col("digest").alias("th")), "docs")
     firsts = stored(lines.groupBy("sid").agg(F.min(F.struct("doc_id", "th", "line")).alias("first")), "firsts")
-    met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
+    met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards, MEETING), "meetings")
     discard(first)
     large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place", "bits"), "large")
     pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
@@ -180,6 +182,7 @@ def removals(docs: DataFrame) -> DataFrame:
 
     chosen = stored(likely(pairs, large), "chosen")
     late = stored(late_of(chosen), "late")
+    discard()
     more = stored(uncovered(large, firsts, late, pairs), "more")
     discard(chosen, large, pairs)
     if not more.isEmpty():

@@ -155,7 +155,7 @@ class PrefixTree:
         return out
 
 
-def pairs_of_meetings(keys, ids, sizes, places, maps):
+def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set, bitmap).
 
     Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
@@ -168,25 +168,25 @@ def pairs_of_meetings(keys, ids, sizes, places, maps):
     keys, ids, sizes, places, maps = keys[fresh], ids[fresh], sizes[fresh], places[fresh], maps[order][fresh]
     at = runs(keys)
     n = np.diff(at)
-    left, right, big, small = [], [], [], []
-    for m in range(2, MEETING + 1):
-        first = at[:-1][n == m]
-        for i in range(m):
-            for j in range(i + 1, m):
-                left.append(first + i)
-                right.append(first + j)
-                small.append(np.ones(len(first), dtype=np.int64))
-    for low, m in zip(at[:-1][n > MEETING].tolist(), n[n > MEETING].tolist(), strict=True):
-        left.append(np.full(m - 1, low))
-        right.append(np.arange(low + 1, low + m))
-        small.append(np.zeros(m - 1, dtype=np.int64))
-        big.append(np.arange(low, low + m))
+    size = np.repeat(n, n)  # of the meeting of each entry
     none = np.zeros(0, dtype=np.int64)
-    a, b, small = np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(small or [none])
+    left, right = [none], [none]
+    for step in range(1, min(meeting, int(n.max(initial=0)))):  # pairs of a small meeting, by their distance in it
+        a = np.flatnonzero((keys[step:] == keys[:-step]) & (size[:-step] <= meeting))
+        b = a + step
+        most = np.minimum(places[a], places[b]) + np.minimum(sizes[a] - places[a], sizes[b] - places[b])
+        keep = most >= need(sizes[a], sizes[b])
+        left.append(a[keep])
+        right.append(b[keep])
+    a, b = np.concatenate(left), np.concatenate(right)
+    big = np.flatnonzero(size > meeting)
+    lead = np.repeat(at[:-1], n)[big]
+    other = lead != big
+    small = np.concatenate([np.ones(len(a), dtype=np.int64), np.zeros(int(other.sum()), dtype=np.int64)])
+    a, b = np.concatenate([a, lead[other]]), np.concatenate([b, big[other]])
     first = foremost(sizes[a], places[a], sizes[b], places[b])
     keep = (first | (small == 1)) & alike(sizes[a], maps[a], sizes[b], maps[b])
     a, b, small, first = a[keep], b[keep], small[keep], first[keep]
-    big = np.concatenate(big or [none])
     return (ids[a], sizes[a], ids[b], sizes[b], small, first.astype(np.int64)), (ids[big], sizes[big], places[big], keys[big], maps[big])
 
 
@@ -275,15 +275,17 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ENTRY)
 
 
-def meetings(entries: DataFrame, shards: int) -> DataFrame:
-    """Rows of kind 0: packed candidate pairs by shard; of kind 1: members of large meetings."""
+def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> DataFrame:
+    """Meetings of at most ``meeting`` sets are small.  Rows of kind 0: packed candidate pairs by shard; of kind 1: members of large meetings."""
+
+    meeting = meeting or MEETING
 
     def run(table: pa.Table) -> pa.Table:
         parts = []
         for block in table.column("block"):
             keys, local, place, ids, size, bits = unpack(block.as_py())
             parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local]))
-        pairs, (ids, sizes, places, keys, bits) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        pairs, (ids, sizes, places, keys, bits) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)), meeting)
         a, sa, b, sb, shared, first = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
         rank = np.argsort(to, kind="stable")
