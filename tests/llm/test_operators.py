@@ -9,7 +9,7 @@ from math import log10
 import numpy as np
 import pytest
 
-from weftlink.llm import byte_bpe, html_text, katz, kneser_ney, language_id, line_dedup, phrase_index, quality_ratio, shingle_join, unigram_counts
+from weftlink.llm import byte_bpe, html_text, katz, kneser_ney, language_id, line_dedup, line_join, phrase_index, quality_ratio, shingle_join, unigram_counts
 
 P = pytest.importorskip("public_tokenizers")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -135,7 +135,7 @@ def test_prefix_tree():
 
 @pytest.mark.parametrize("meeting", [12, 2])
 def test_line_dedup(docs, none, meeting, monkeypatch):
-    monkeypatch.setattr(shingle_join, "MEETING", meeting)
+    monkeypatch.setattr(line_join, "MEETING", meeting)
     earlier, gone, held = [], {}, {}
     for i, t in enumerate(TEXTS):
         gone[i], held[i] = [], 0
