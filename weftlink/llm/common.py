@@ -28,6 +28,7 @@ PASS_BYTES = 2 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
+_OWN: dict[str, str] = {}
 
 U64 = np.uint64
 
@@ -50,9 +51,8 @@ def shielded(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[str]]:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="weftlink-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    if not base:  # as in tests: one folder of this driver's own
+        base = _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="weftlink-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

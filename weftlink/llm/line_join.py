@@ -147,16 +147,14 @@ def covered(similar: DataFrame, firsts: DataFrame) -> DataFrame:
     return similar.join(one, "a").join(two, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("late")).distinct()
 
 
-def uncovered(large: DataFrame, firsts: DataFrame, late: DataFrame, pairs: DataFrame) -> DataFrame:
+def uncovered(large: DataFrame, firsts: DataFrame, late: DataFrame) -> DataFrame:
     """Pairs of large meetings of which the later set is not covered, and that can still reach the overlap."""
     member = large.join(firsts.select(F.col("sid").alias("digest"), "first"), "digest").join(late, F.col("digest") == F.col("late"), "left")
     one = member.select("meeting", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("first").alias("fa"))
     two = member.where("late is null").select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("first").alias("fb"))
     whole = f"(greatest(na, nb) > 48 or bit_count(sa ^ sb) <= na + nb - 2 * {NEED})"
     met = one.join(two, "meeting").where("fa < fb and a <> b").where(f"4 * least(na, nb) >= 3 * greatest(na, nb) and least(na - pa, nb - pb) >= {NEED} and {whole}")
-    chosen = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = pairs.where("first").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return chosen.join(done, ["a", "b"], "left_anti")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -173,18 +171,18 @@ def removals(docs: DataFrame) -> DataFrame:
     met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards, MEETING), "meetings")
     discard(first)
     large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place", "bits"), "large")
-    pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
+    discard()
+    chosen = stored(likely(candidate_pairs(met.where("kind = 0").select("shard", "block")), large), "chosen")
     discard(met)
 
     def late_of(chosen: DataFrame) -> DataFrame:
         needed = chosen.select(F.col("a").alias("digest")).union(chosen.select("b")).distinct()
         return covered(verified(chosen, sets_of(docs, firsts, needed), shards), firsts)
 
-    chosen = stored(likely(pairs, large), "chosen")
     late = stored(late_of(chosen), "late")
     discard()
-    more = stored(uncovered(large, firsts, late, pairs), "more")
-    discard(chosen, large, pairs)
+    more = stored(uncovered(large, firsts, late), "more")
+    discard(chosen, large)
     if not more.isEmpty():
         late = stored(late.unionByName(late_of(more)).distinct(), "late")
     discard(more)
