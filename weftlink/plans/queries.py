@@ -228,7 +228,7 @@ _KEPT: list[DataFrame] = []
 
 def kept(rows: DataFrame) -> DataFrame:
     """Normalised rows are read by many branches of a query: compute them once, and let go of those of earlier queries."""
-    while len(_KEPT) > 2:
+    while len(_KEPT) > 3:
         _KEPT.pop(0).unpersist()
     _KEPT.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
     return rows
@@ -426,10 +426,11 @@ def threshold_sweep(spark, sf_dir):
 @query()
 def gbt_scores(spark, sf_dir):
     """Probabilities of the validation pairs under a short boosted model."""
-    from .linkage import train_and_report
-
-    _, _, val = train_and_report(candidates_of(spark, sf_dir), normalised(spark, sf_dir), truth(spark, sf_dir), rounds=5)
-    return val
+    pairs = pairs_of(spark, sf_dir)
+    rows = FE.features(pairs, normalised(spark, sf_dir)).join(matcher.entity_split(pairs), "source1_entity_id")
+    rows = kept(rows)
+    model = matcher.train(rows, rounds=2)
+    return matcher.scored(model, rows.where("is_val")).select("source1_entity_id", "candidate_entity_id", "label", "prob")
 
 
 # Dictionary mining --------------------------------------------------------------------------------------
