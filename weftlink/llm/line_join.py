@@ -162,7 +162,7 @@ def removals(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    shards = 2 * shard_count(spark)
+    shards = 6 * shard_count(spark)  # pairs of a shard are held at once
     shared = spark.sparkContext.broadcast(ranks(docs))  # CELLS numbers
     first = stored(digested(docs, shared, shards), "lines")
     lines = stored(line_rows(first.where("kind = 0")), "rows")
