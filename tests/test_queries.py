@@ -59,3 +59,34 @@ def test_suffix_overlap_reads_every_supplier(spark, tmp_path):
     want = {c: overlap([str(c), str(c % 25)], [str(c % len(SUPPLIERS)), str(c)[-2:], "7"]) for c in CUSTOMERS}
     got = QUERIES["numeric_suffix_overlap"](spark, result_tables(spark, tmp_path)).collect()
     assert len(got) == len(CUSTOMERS) and {r.k: r.overlap for r in got} == want
+
+
+LONG = "First line that is longer than sixty characters, whole as the name é of its record"
+TEXTS = [f"{LONG}\nsecond ß line 12345\n{'middle ' * 40}\nlast line ñ", "no line end", "", "a\n", "\nb", f"{LONG}\n\nœ {'tail ' * 30}", LONG, LONG]
+
+
+def documents(spark, folder):
+    rows = [(i, t, ["en", "de"][i % 2]) for i, t in enumerate(TEXTS)]
+    return stored(spark, folder, documents=([*rows, (len(rows), None, "en")], "doc_id long, text string, lang string"))
+
+
+def test_records_hold_whole_texts(spark, tmp_path):
+    from weftlink.sources.adapter import records
+
+    d = documents(spark, tmp_path)
+    got = {int(r.entity_id.split("-")[1]): (r.business_name, r.business_address) for r in records(spark, d).collect()}
+    want = {i: (t.partition("\n")[0], t.partition("\n")[2]) for i, t in enumerate(TEXTS)}
+    assert got == {**want, len(TEXTS): (None, None)}
+    chars = collections.Counter(("train" if i % 2 == 0 else "test", c) for i, t in enumerate(TEXTS) for c in t if ord(c) > 127)
+    assert {(r.split, r.ch): r.n for r in QUERIES["nonascii_census"](spark, d).collect()} == chars
+    letters = sum(c.isalpha() for t in TEXTS for c in t)
+    assert [tuple(r) for r in QUERIES["char_census"](spark, d).collect()] == [("Latin", letters)]
+    numbers = {r.entity_id: r.numbers for r in QUERIES["clean_address"](spark, d).collect()}
+    assert numbers["S1-0"] == "12345"
+
+
+def test_markers_go_into_whole_names(spark, tmp_path):
+    d = documents(spark, tmp_path)
+    rest = {r.entity_id: r.rest for r in QUERIES["paren_id"](spark, d).collect()}
+    parts = {r.entity_id: r.parts for r in QUERIES["alias_split"](spark, d).collect()}
+    assert rest["S1-6"] == f"{LONG[:8]}  {LONG[8:]} [Co]" and parts["S1-6"] == f"{LONG[:20].strip()}|{LONG[20:].strip()}|en"

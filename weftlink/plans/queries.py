@@ -97,7 +97,7 @@ def strip_junk(spark, sf_dir):
 
 def _marked() -> Column:
     """A name with a marker in the middle, for every second record."""
-    return F.when(F.crc32("entity_id") % 2 < 2, F.concat(F.left("x", F.lit(8)), F.lit(" (ID: k-7) "), F.substring("x", 9, 60), F.lit(" [Co]")))
+    return F.when(F.crc32("entity_id") % 2 < 2, F.concat(F.left("x", F.lit(8)), F.lit(" (ID: k-7) "), F.substring("x", 9, 2**31 - 1), F.lit(" [Co]")))
 
 
 _MARKED = "left(business_name, 8) || ' (ID: k-7) ' || substring(business_name, 9, 60) || ' [Co]'"
@@ -123,7 +123,7 @@ _AKA = "left(business_name, 20) || ' d/b/a ' || substring(business_name, 21, 15)
 
 @query(O.sql(R, f"SELECT entity_id, array_to_string(p, '|') AS parts, len(p) AS n FROM (SELECT entity_id, {O.alias('x')} AS p FROM (SELECT entity_id, {_AKA} AS x FROM records))"))
 def alias_split(spark, sf_dir):
-    x = F.concat(F.left("business_name", F.lit(20)), F.lit(" d/b/a "), F.substring("business_name", 21, 15), F.lit(", formerly "), "country")
+    x = F.concat(F.left("business_name", F.lit(20)), F.lit(" d/b/a "), F.substring("business_name", 21, 2**31 - 1), F.lit(", formerly "), "country")
     rows = records(spark, sf_dir).select("entity_id", x.alias("x")).withColumn("p", X.alias_parts(F.col("x")))
     return rows.select("entity_id", bar("p").alias("parts"), F.size("p").cast("long").alias("n"))
 

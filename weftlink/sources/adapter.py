@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, business_name (first line), business_address (last 80 characters), country, src, split."""
+    """entity_id, business_name (first line), business_address (all the rest of the text), country, src, split."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     src = F.concat(F.lit("S"), (1 + F.col("doc_id") % 3).cast("string"))
     return docs.select(
         F.concat(src, F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(60)).alias("business_name"),
-        F.right("text", F.lit(80)).alias("business_address"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("business_name"),
+        F.array_join(F.slice(F.split("text", "\n"), 2, 2**31 - 1), "\n").alias("business_address"),
         F.col("lang").alias("country"),
         src.alias("src"),
         F.when(F.col("doc_id") % 2 == 0, "train").otherwise("test").alias("split"),
