@@ -90,3 +90,28 @@ def test_markers_go_into_whole_names(spark, tmp_path):
     rest = {r.entity_id: r.rest for r in QUERIES["paren_id"](spark, d).collect()}
     parts = {r.entity_id: r.parts for r in QUERIES["alias_split"](spark, d).collect()}
     assert rest["S1-6"] == f"{LONG[:8]}  {LONG[8:]} [Co]" and parts["S1-6"] == f"{LONG[:20].strip()}|{LONG[20:].strip()}|en"
+
+
+def test_scores_come_from_the_whole_boosted_model(spark, tmp_path, monkeypatch):
+    import inspect
+
+    from weftlink.operators import matcher
+    from weftlink.plans import queries
+
+    called, train = [], matcher.train
+
+    def short(*a, **b):
+        bound = inspect.signature(train).bind(*a, **b)
+        bound.apply_defaults()
+        called.append(bound.arguments["rounds"])
+        return train(bound.arguments["rows"], rounds=1)  # the call is what is tested
+
+    monkeypatch.setattr(matcher, "train", short)
+    pairs = [(f"S1-{i}", f"S{2 + j}-{i + 1 + j}", 1 + j, 1 - j) for i in range(0, 30, 3) for j in (0, 1)]
+    given = spark.createDataFrame(pairs, "source1_entity_id string, candidate_entity_id string, agreement_count int, label int")
+    monkeypatch.setattr(queries, "pairs_of", lambda spark, sf_dir: given)
+    d = stored(spark, tmp_path, documents=([(i, f"shop {i // 3}\nplace {i}", "en") for i in range(33)], "doc_id long, text string, lang string"))
+    got = {(r.source1_entity_id, r.candidate_entity_id, r.label): r.prob for r in QUERIES["gbt_scores"](spark, d).collect()}
+    val = {r.source1_entity_id for r in matcher.entity_split(given).where("is_val").collect()}
+    assert called == [matcher.ROUNDS] and len(val) == 2
+    assert set(got) == {(a, b, label) for a, b, _, label in pairs if a in val} and all(0 <= p <= 1 for p in got.values())

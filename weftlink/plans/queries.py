@@ -426,11 +426,11 @@ def threshold_sweep(spark, sf_dir):
 
 @query()
 def gbt_scores(spark, sf_dir):
-    """Probabilities of the validation pairs under a short boosted model."""
+    """Probabilities of the validation pairs under the boosted model."""
     pairs = pairs_of(spark, sf_dir)
     rows = FE.features(pairs, normalised(spark, sf_dir)).join(matcher.entity_split(pairs), "source1_entity_id")
     rows = kept(rows)
-    model = matcher.train(rows, rounds=2)
+    model = matcher.train(rows)
     return matcher.scored(model, rows.where("is_val")).select("source1_entity_id", "candidate_entity_id", "label", "prob")
 
 
