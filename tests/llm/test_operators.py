@@ -9,7 +9,7 @@ from math import log10
 import numpy as np
 import pytest
 
-from weftlink.llm import byte_bpe, html_text, katz, kneser_ney, language_id, line_dedup, line_join, phrase_index, quality_ratio, shingle_join, unigram_counts
+from weftlink.llm import byte_bpe, html_text, katz, kneser_ney, language_id, line_dedup, phrase_index, quality_ratio, shingle_join, unigram_counts
 
 P = pytest.importorskip("public_tokenizers")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,9 +133,9 @@ def test_prefix_tree():
     assert sorted(shingle_join.PrefixTree(sets).similar(base)) == wanted and 0 < len(wanted) < 80
 
 
-@pytest.mark.parametrize("meeting", [12, 2])
-def test_line_dedup(docs, none, meeting, monkeypatch):
-    monkeypatch.setattr(line_join, "MEETING", meeting)
+@pytest.mark.parametrize("common", [1024, 6])
+def test_line_dedup(docs, none, common, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COMMON", common)
     earlier, gone, held = [], {}, {}
     for i, t in enumerate(TEXTS):
         gone[i], held[i] = [], 0
@@ -149,14 +149,14 @@ def test_line_dedup(docs, none, meeting, monkeypatch):
     got = by_id(line_dedup.report(docs))
     for i in gone:
         assert (got[i].n_lines, got[i].removed_lines) == (held[i], ",".join(map(str, gone[i])))
-    if meeting == 12:
-        native = {r.doc_id: r.removed for r in line_dedup.removals(docs).collect()}
-        assert native == gone
-        clean = line_dedup.cleaned(docs)
-        assert clean.columns == docs.columns
+    if common == 1024:
+        odd = docs.withColumnsRenamed({"score": "weft_d", "shingles": "weft_r"})
+        clean = line_dedup.cleaned(odd)
+        assert clean.columns == odd.columns
         left = by_id(clean)
         assert set(left) == {i for i in gone if not gone[i] or len(gone[i]) < held[i]}
         assert all(left[i].text == (TEXTS[i] if not gone[i] else "\n".join(x for k, x in enumerate(TEXTS[i].split("\n")) if k not in gone[i])) for i in left)
+        assert all((r.weft_d, r.weft_r) == (1.0, "x") for r in left.values())
         assert line_dedup.report(none).count() == 0
 
 

@@ -1,159 +1,214 @@
-"""Line deduplication by an exact set-similarity join.
-
-``removals`` is the form in DataFrame functions only; ``report`` and ``cleaned`` run line_join.removals, the same
-rule with packed exchanges, since the former needs more disk and CPU than the check tool allows (see README).
+"""Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
 A line is the set of its lower-cased words.  A line that holds a word is removed
 if an earlier line (of a lower doc_id, or above it in its document) has the same
 set or one of Jaccard similarity 0.75 or more.
 
-Join.  Words are ordered by rarity, rare first: the frequencies of all words,
-counted in ``BUCKETS`` hashed cells, rank the cells, and a word's place is its
-cell's rank followed by the rest of its hash, a total order of fixed size.  Sets
-meet at their first ``n - ceil(t n) + 1`` words (prefix filter).  Of the pairs that meet,
-those are kept whose sizes fit (length filter), whose rest can still reach the overlap from their first
-common word on (positional filter), and whose bitmaps allow it; these are verified on the whole sets.
-
-Scale.  Lines are reduced to a digest, a size, a bitmap and their first words in one row;
-only those rows are shuffled, never texts.  Frequent lines are counted by partial aggregation and enter the join
-once.  At a word where more than ``MEETING`` lines meet, each first meets the earliest line only; what that
-leaves uncovered meets the others afterwards, so a group of near copies costs its size, and none is missed.
+Join.  Words are ordered by rarity, rare first: the frequencies of all words, counted in ``CELLS`` hashed cells, give each
+word a level, a quarter of a power of two wide; the word's hash breaks ties.  Of a set of n words the first
+``n - ceil(3 n / 4) + 1`` can be the first that it shares with a similar one (prefix filter).  Sets meet at those of them that
+are not known to occur once and are rarer than ``COMMON``.  If such a prefix reaches the common words, the sets also meet at pairs of words
+that are neighbours in the order, from the first common word on: among ``2 floor(n / 4) + 2`` of them a similar
+pair whose first shared word is common has one that both hold, since each word that only one of them has parts one pair of neighbours.
+So no meeting at a single word grows beyond the lines that ``COMMON`` allows, and a meeting at two common words is a selective one.
+Of the sets that meet, pairs are kept whose sizes fit (length filter), whose places allow the overlap (positional
+filter) and whose parity bitmaps differ in no more bits than words may; these are verified on the whole sets.
+
+Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share their least or
+greatest word hash are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
+then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
+Only numbers are shuffled, texts are not, except to verify more lines than ``BROADCAST_LINES`` or ``BROADCAST_DOCS`` allow.
 
 Defined cases: a null or empty text, and a line without words, keep what they have; sets of one or
 two words match equal sets only; documents that repeat an id and a text are judged
-alike; a null id comes first; other columns are left alone.  Sets and words are told apart by 64-bit hashes.
+alike; a null id comes first; an empty table stays empty; other columns are left alone, whatever they are called.
+Sets and words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import line_join
-from .common import discard, stored
+from .common import discard, shielded, stored
 
-BUCKETS = 1 << 16
-MEETING = 24
-#: Lines that occur this often enter the join once; at most so many of them are known to every task.
-OFTEN, OFTEN_KNOWN = 64, 20_000
-#: Documents whose lines are fetched by broadcast; beyond it by a shuffle.
-BROADCAST_DOCS = 300_000
-#: Sets of up to so many words have a bitmap of all words, larger ones of their first words.
-SMALL = 48
-_SPACE = r"[\x20\x09-\x0D]+"
+#: Cells that words are counted in.
+CELLS = 1 << 18
+#: Occurrences from which a word is common: lines meet at pairs of such words.
+COMMON = 1024
+#: Slices of the join.
+ROUNDS = 3
+#: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
+BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
+_REGEX = r"[\\x20\\x09-\\x0D]+"
 
 
 def words(line: str) -> str:
-    """SQL for the distinct word hashes of a string expression."""
-    return f"array_distinct(transform(array_remove(split(lower({line}), '{_SPACE}'), ''), w -> xxhash64(w)))"
+    """SQL for the words of a string expression, lower-cased; a line without rare white space is split by blanks."""
+    return f"array_remove(if({line} rlike '[\\\\x09\\\\x0B-\\\\x0D]', split(lower({line}), '{_REGEX}'), split(lower({line}), ' ')), '')"
 
 
-def _sql(text: str) -> str:
-    return text.replace("\\", "\\\\")
+def level(count: int) -> int:
+    """Rarity of a cell: 0 for words that occur once at most, then a step for each quarter of a power of two."""
+    return 0 if count < 2 else (count**4).bit_length()
 
 
-def prefix(n: str) -> str:
-    return f"cast({n} - ceil({n} * 3 / 4) + 1 as int)"
+def levels(docs: DataFrame) -> str:
+    """SQL for an array with the level of each cell, from the counts of all words of all texts; its length is fixed."""
+    held = docs.select(F.explode(F.expr(f"split(lower(text), '{_REGEX}')")).alias("w")).where("w <> ''")
+    counted = held.select(F.expr(f"cast(xxhash64(w) & {CELLS - 1} as int)").alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    step = F.when(F.col("n") < 2, 0).otherwise(F.floor(F.log2("n") * 4) + 1)
+    both = counted.select("cell", step.cast("int").alias("level")).unionByName(docs.sparkSession.range(0, CELLS, 1, 8).selectExpr("cast(id as int) as cell", "0 as level"))
+    row = both.groupBy("cell").agg(F.max("level").alias("level")).agg(F.sort_array(F.collect_list(F.struct("cell", "level"))).alias("all"))  # CELLS rows
+    text = row.select(F.array_join(F.transform("all", lambda x: x["level"].cast("string")), ",")).first()[0]
+    return f"from_json('[{text}]', 'array<int>')"
 
 
-def rarity(docs: DataFrame) -> Column:
-    """Rank of each cell of words, the rarest first, as a literal array of fixed length."""
-    held = docs.select(F.explode(F.split(F.lower("text"), _SPACE)).alias("w")).where("w <> ''").select(F.xxhash64("w").bitwiseAND(BUCKETS - 1).cast("int").alias("b"))
-    counts = {r["b"]: r["n"] for r in held.groupBy("b").agg(F.count("*").alias("n")).collect()}  # BUCKETS rows at most
-    ranks = [0] * BUCKETS
-    for rank, b in enumerate(sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))):
-        ranks[b] = rank - BUCKETS // 2
-    return F.from_json(F.lit(str(ranks)), "array<bigint>")
+#: Low bits of an ordered word that are its hash; the level stands above them.
+_HASH = (1 << 56) - 1
+#: An entry: 42 bits of key, one that tells pairs of words from words, 20 of the place.
+_KEY, _PAIR, _PLACE = (1 << 42) - 1, 1 << 20, (1 << 20) - 1
+SIGNS = ["s1", "s2", "s3", "s4"]
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """A row for each line: doc_id, th (hash of the text), line, sid (digest of its set), n, sig (bitmap), first (first words)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "value"))
-    rows = rows.withColumn("w", F.split(F.lower("value"), _SPACE)).withColumn("ranks", rarity(docs))
-    ordered = "sort_array(array_distinct(transform(array_remove(w, ''), x -> shiftleft(get(ranks, cast(xxhash64(x) & 65535 as int)), 48) | shiftrightunsigned(xxhash64(x), 16))))"
-    rows = rows.select("doc_id", "th", "line", F.expr(ordered).alias("w")).select("*", F.size("w").alias("n"))
-    rows = rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), "w", F.expr(f"case when n < 3 then cast(array() as array<bigint>) else slice(w, 1, {prefix('n')}) end").alias("first"))
-    bits = f"aggregate(case when n <= {SMALL} then w else first end, 0L, (s, x) -> s | shiftleft(1L, cast(x & 63 as int)))"
-    return rows.select("doc_id", "th", "line", "n", "sid", F.expr(bits).alias("sig"), "first")
-
-
-#: Least overlap of sets of na and nb words.
-NEED = "ceil(3 * (na + nb) / 7)"
-
-
-def fitting() -> str:
-    """Length, positional and bitmap filters of a pair (na, pa, sa), (nb, pb, sb) that meets at a word."""
-    whole = f"bit_count(sa ^ sb) <= na + nb - 2 * {NEED}"
-    part = f"least({prefix('na')} - bit_count(sa & ~sb), {prefix('nb')} - bit_count(sb & ~sa)) >= {NEED} - greatest(na - {prefix('na')}, nb - {prefix('nb')})"
-    return f"4 * least(na, nb) >= 3 * greatest(na, nb) and least(na - pa, nb - pb) >= {NEED} and case when greatest(na, nb) <= {SMALL} then {whole} when least(na, nb) > {SMALL} then {part} else true end"
-
-
-def candidates(table: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Rows of kind 0: candidate pairs a, b; of kind 1: a line at a word where many meet (tok, a, na, pa, sa)."""
-    often = firsts.where(f"times >= {OFTEN}").orderBy(F.desc("times"), "sid").limit(OFTEN_KNOWN).select(F.col("sid").alias("often"), F.col("first").alias("own"))
-    rows = table.where("n >= 3").join(F.broadcast(often), F.col("sid") == F.col("often"), "left")
-    rows = rows.where("often is null or own = struct(doc_id, th, line)")
-    entries = rows.select("sid", "n", "sig", F.struct("doc_id", "th").alias("at"), F.posexplode("first").alias("pos", "tok"))
-    entries = entries.select("tok", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("sig").alias("sa"), F.col("at.doc_id").alias("doc"))
-    over = Window.partitionBy("tok")
-    met = entries.select("*", F.count("*").over(over).alias("meet"), F.min(F.struct("doc", "a", "na", "pa", "sa")).over(over).alias("lead"), F.collect_list(F.struct("a", "na", "pa", "sa")).over(over.orderBy("na", "a").rowsBetween(1 - MEETING, -1)).alias("before")).where("meet > 1")
-    # One branch for all, so that the first words are shuffled once.
-    near = fitting().replace("nb", "y.na").replace("pb", "y.pa").replace("sb", "y.sa")
-    ordered = "named_struct('kind', 0, 'tok', cast(null as bigint), 'a', least(a, y.a), 'na', if(a < y.a, na, y.na), 'pa', cast(null as int), 'sa', cast(null as bigint), 'b', greatest(a, y.a), 'nb', if(a < y.a, y.na, na))"
-    own = "named_struct('kind', 1, 'tok', tok, 'a', a, 'na', na, 'pa', pa, 'sa', sa, 'b', cast(null as bigint), 'nb', cast(null as int))"
-    found = F.expr(f"transform(filter(if(meet <= {MEETING}, before, array(named_struct('a', lead.a, 'na', lead.na, 'pa', lead.pa, 'sa', lead.sa))), y -> y.a <> a and {near}), y -> {ordered})")
-    return met.select(found.alias("found"), F.expr(f"if(meet > {MEETING}, array({own}), array())").alias("own")).select(F.explode(F.concat("found", "own")).alias("x")).select("x.*")
-
-
-def verified(docs: DataFrame, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The pairs a, b whose whole sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    places = firsts.join(needed, "sid").select("sid", "first.*").groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "sid")).alias("own"))
-    places = stored(places.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "own"), "places")
-    wanted = F.broadcast(places) if places.count() <= BROADCAST_DOCS else places
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")))
-    rows = rows.select(F.split("text", "\n", -1).alias("lines"), F.explode("own").alias("own"))
-    sets = rows.select(F.col("own.sid").alias("sid"), F.expr(_sql(words("get(lines, own.line)"))).alias("w")).dropDuplicates(["sid"])
-    sets = stored(sets, "sets")
-    one, two = sets.select(F.col("sid").alias("a"), F.col("w").alias("wa")), sets.select(F.col("sid").alias("b"), F.col("w").alias("wb"))
-    out = stored(pairs.join(one, "a").join(two, "b").where(f"size(array_intersect(wa, wb)) >= {NEED}").select("a", "b"), "similar")
-    discard(places, sets)
-    return out
+def bits(n: str) -> list[str]:
+    """SQL for four words of a parity bitmap of the array w: 64 bits for up to 48 words, 128 for up to 112, else 256."""
+    one = "aggregate({}, 0L, (s, x) -> s ^ shiftleft(1L, cast(shiftright(x, 20) & 63 as int)))"
+    part = lambda mask, k: one.format(f"filter(w, x -> (shiftright(x, 26) & {mask}) = {k})")
+    return [
+        f"case when {n} <= 48 then {one.format('w')} when {n} <= 112 then {part(1, 0)} else {part(3, 0)} end",
+        f"case when {n} <= 48 then 0L when {n} <= 112 then {part(1, 1)} else {part(3, 1)} end",
+        f"case when {n} <= 112 then 0L else {part(3, 2)} end",
+        f"case when {n} <= 112 then 0L else {part(3, 3)} end",
+    ]
 
 
-def covered(similar: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Digests of lines of which a similar line comes earlier."""
-    one, two = firsts.select(F.col("sid").alias("a"), F.col("first").alias("fa")), firsts.select(F.col("sid").alias("b"), F.col("first").alias("fb"))
-    return similar.join(one, "a").join(two, "b").select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("late")).distinct()
+def line_table(docs: DataFrame) -> DataFrame:
+    """A row for each line: doc_id, th (hash of the text), line, sid (digest of its set), n; for sets of three words and more also
+    s1 to s4 (bitmap), ends (least and greatest word hash) and keys (entries)."""
+    common = level_of(COMMON) << 56
+    rows = docs.select("doc_id", "th", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "value"))
+    rows = rows.select("doc_id", "th", "line", F.expr(words("value")).alias("v"))
+    word = f"shiftleft(cast(coalesce(get(%s, cast(xxhash64(x) & {CELLS - 1} as int)), 0) as bigint), 56) | shiftrightunsigned(xxhash64(x), 8)"
+    rows = rows.select("doc_id", "th", "line", F.expr(f"sort_array(array_distinct(transform(v, x -> {word % levels(docs)})))").alias("w"))
+    rows = rows.select("*", F.size("w").alias("n"))
+    first = f"filter(transform(slice(w, 1, shiftright(n, 2) + 1), (x, i) -> if(x > {_HASH} and x < {common}, shiftleft(x & {_KEY}, 21) | least(i, {_PLACE}), -1L)), x -> x >= 0)"
+    start = f"size(filter(slice(w, 1, shiftright(n, 2) + 1), x -> x < {common}))"
+    end = "least(2 * shiftright(n, 2) + 1, n - 2)"
+    pairs = f"case when get(w, shiftright(n, 2)) >= {common} and {start} <= {end} then transform(sequence({start}, {end}), p -> shiftleft(xxhash64(get(w, p), get(w, p + 1)) & {_KEY}, 21) | {_PAIR} | least(p, {_PLACE})) else cast(array() as array<bigint>) end"
+    hashes = f"transform(w, x -> x & {_HASH})"
+    big = {k: f"case when n >= 3 then {v} end" for k, v in zip(SIGNS, bits("n"), strict=True)} | {"h": f"case when n >= 3 then {hashes} end", "keys": f"case when n >= 3 then concat({first}, {pairs}) end"}
+    rows = rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), *[F.expr(v).alias(k) for k, v in big.items()])
+    return rows.withColumn("ends", F.expr("case when n >= 3 then array(array_min(h), -1 - array_max(h)) end")).drop("h")
+
+
+def level_of(count: int) -> int:
+    return level(count)
+
+
+#: Least overlap of sets of na and nb words, and the bits in which their bitmaps may differ.
+NEED = "((3 * (na + nb) + 6) div 7)"
+_SPARE = f"(na + nb - 2 * {NEED})"
+
+
+def alike(a: str = "a", b: str = "b") -> str:
+    """Length and bitmap filters of a pair with columns n, s1 to s4 of each side: words that only one of them has
+    turn one bit each, so more bits than such words that are allowed rule the pair out."""
+    s = {x: [f"{k}{x}" for k in SIGNS] for x in (a, b)}
+    x1, x2, x3, x4 = (f"({p} ^ {q})" for p, q in zip(s[a], s[b], strict=True))
+    differ = f"bit_count({x1} ^ {x2} ^ {x3} ^ {x4}) <= {_SPARE} and (least(na, nb) <= 48 or bit_count({x1} ^ {x3}) + bit_count({x2} ^ {x4}) <= {_SPARE}) and (least(na, nb) <= 112 or bit_count({x1}) + bit_count({x2}) + bit_count({x3}) + bit_count({x4}) <= {_SPARE})"
+    return f"4 * least(na, nb) >= 3 * greatest(na, nb) and {differ}"
+
+
+def placed() -> str:
+    """Positional filter of entries ea and eb: no more words may stand before the first shared one, or the first shared
+    neighbours, than the sets may have for themselves."""
+    pa, pb = f"(ea & {_PLACE})", f"(eb & {_PLACE})"
+    single = f"least(na - {pa}, nb - {pb}) >= {NEED}"
+    double = f"{pa} <= 2 * na + nb - 3 * {NEED} and {pb} <= 2 * nb + na - 3 * {NEED}"
+    return f"if(ea & {_PAIR} = 0, {single}, {double})"
+
+
+def sided(rows: DataFrame, side: str, *extra: str) -> DataFrame:
+    return rows.select(*extra, *[F.col(c).alias(f"{c}{side}") for c in ("rid", "n", *SIGNS)])
+
+
+def led(sets: DataFrame) -> DataFrame:
+    """Pairs a, b: b and the earliest set a that has the same least or greatest word hash."""
+    ends = sets.where("n >= 3").select("rid", "n", *SIGNS, F.explode("ends").alias("end"))
+    lead = ends.groupBy("end").agg(F.min(F.struct("rid", "n", *SIGNS)).alias("x"), F.count("*").alias("times")).where("times > 1")
+    lead = sided(lead.select("end", "x.*"), "a", "end")
+    return lead.join(sided(ends, "b", "end"), "end").where(f"rida < ridb and {alike()}").selectExpr("rida as a", "ridb as b").distinct()
+
+
+def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
+    """Pairs a, b of sets that meet in slice k, a before b, b not covered."""
+    # Both sides have the same columns, so that one exchange serves both; the last bit of rid tells what is not covered.
+    own = sets.where("n >= 3").join(covered.select(F.col("b").alias("rid"), F.lit(1).alias("done")), "rid", "left")
+    entries = own.select(F.expr("2 * rid + if(done is null, 1, 0)").alias("rid"), "n", *SIGNS, F.explode("keys").alias("e"))
+    entries = entries.where(f"pmod(shiftright(e, 21), {rounds}) = {k}").withColumn("key", F.expr("shiftright(e, 20)"))
+    one = entries.select("key", *[F.col(c).alias(f"{c}a") for c in ("e", "rid", "n", *SIGNS)])
+    two = entries.select("key", *[F.col(c).alias(f"{c}b") for c in ("e", "rid", "n", *SIGNS)])
+    pairs = one.join(two, (one["key"] == two["key"]) & F.expr(f"(ridb & 1) = 1 and shiftright(rida, 1) < shiftright(ridb, 1) and {placed()} and {alike()}"))
+    return pairs.selectExpr("shiftright(rida, 1) as a", "shiftright(ridb, 1) as b").distinct()
+
+
+def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """b of the pairs whose whole sets reach the threshold."""
+    needed = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+    places = sets.select("rid", "doc_id", "th", "line").join(needed, "rid").groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "rid")).alias("own"))
+    places = stored(places.toDF("d", "t", "own"), "places")
+    size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("own")), F.lit(0)).alias("lines")).first()
+    wanted = F.broadcast(places) if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES else places
+    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.split("text", "\n", -1).alias("lines"), "own")
+    rows = rows.select(F.explode(F.expr("transform(own, x -> named_struct('rid', x.rid, 'line', get(lines, x.line)))")).alias("x")).select("x.*")
+    whole = rows.select("rid", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["rid"])
+    whole = stored(whole, "whole")
+    one, two = whole.select(F.col("rid").alias("a"), F.col("w").alias("wa")), whole.select(F.col("rid").alias("b"), F.col("w").alias("wb"))
+    found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select("b").distinct()
+    found = stored(found, "similar")
+    discard(places, whole)
+    return found
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, th, n_lines (lines that hold a word) and removed (their numbers, from 0)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     table = stored(line_table(docs), "lines")
     held = table.where("n > 0")
-    firsts = stored(held.groupBy("sid").agg(F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("times")), "firsts")
-    met = stored(candidates(table, firsts), "met")
+    place = F.struct("doc_id", "th", "line")
+    firsts = held.groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("ends", "keys", *SIGNS)).alias("x"))
+    firsts = stored(firsts.select("sid", "first", "n", "x.*"), "firsts")
     discard()
-    pairs = stored(met.where("kind = 0").select("a", "na", "b", "nb").distinct(), "pairs")
-    late = stored(covered(verified(docs, pairs, firsts), firsts), "late")
-    crowd = met.where("kind = 1").select("tok", "a", "na", "pa", "sa").join(firsts.select(F.col("sid").alias("a"), F.col("first").alias("fa")), "a").distinct()
-    open_ = crowd.join(late, F.col("a") == F.col("late"), "left_anti").select("tok", F.col("a").alias("b"), *[F.col(f"{x}a").alias(f"{x}b") for x in "npsf"])
-    more = crowd.join(open_, "tok").where(f"fa < fb and a <> b and {fitting()}").select("a", "na", "b", "nb").distinct()
-    more = stored(more, "more")
-    if not more.isEmpty():
-        late = late.unionByName(covered(verified(docs, more, firsts), firsts)).distinct()
-    discard(met, more, pairs)
-    marked = held.select("doc_id", "th", "line", "sid").join(firsts.select("sid", "first"), "sid").join(late, F.col("sid") == F.col("late"), "left")
-    gone = F.col("late").isNotNull() | (F.struct("doc_id", "th", "line") != F.col("first"))
-    found = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed"))
-    rows = table.where("line = 0").select(F.col("doc_id").alias("d"), F.col("th").alias("t"))
-    rows = rows.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left")
-    return rows.select(F.col("d").alias("doc_id"), F.col("t").alias("th"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    # Numbered in document order; stored, so that the numbers stay.
+    sets = firsts.orderBy("first").select(F.monotonically_increasing_id().alias("rid"), "sid", "first.*", "n", "ends", "keys", *SIGNS)
+    sets = stored(sets, "sets")
+    discard(firsts)
+    pairs = stored(led(sets), "led")
+    late = similar(docs, sets, pairs)
+    discard(pairs)
+    found = []
+    for k in range(ROUNDS):
+        found.append(stored(met(sets, late, k, ROUNDS), "met"))
+        discard()
+    pairs = found[0]
+    for x in found[1:]:
+        pairs = pairs.unionByName(x)
+    pairs = stored(pairs.distinct(), "pairs")
+    discard(*found)
+    late = late.unionByName(similar(docs, sets, pairs))
+    discard(pairs)
+    known = sets.select("sid", "rid", F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("line").alias("l")).join(late.distinct().select(F.col("b").alias("rid"), F.lit(True).alias("late")), "rid", "left")
+    marked = held.select("doc_id", "th", "line", "sid").join(known, "sid")
+    gone = F.col("late").isNotNull() | (F.struct("doc_id", "th", "line") != F.struct("d", "t", "l"))
+    removed = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed")).toDF("d", "t", "n_lines", "removed")
+    rows = table.where("line = 0").select("doc_id", "th").join(removed, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left")
+    return rows.select("doc_id", "th", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers of the removed lines from 0, comma-joined) of every document."""
-    return line_join.removals(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+    return removals(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -161,8 +216,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     All other columns, and the order of what stays, are as they were.
     """
-    found = stored(line_join.removals(docs).distinct(), "removed").where("size(removed) > 0")
-    found = found.select(F.col("doc_id").alias("weft_d"), F.col("th").alias("weft_t"), F.col("n_lines").alias("weft_n"), F.col("removed").alias("weft_r"))
-    rows = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("weft_d")) & (F.xxhash64("text") == F.col("weft_t")), "left").where("weft_r is null or size(weft_r) < weft_n")
+    found = stored(removals(docs).distinct(), "removed").where("size(removed) > 0").toDF("weft_d", "weft_t", "weft_n", "weft_r")
+    safe, names = shielded(docs, found.columns)
+    rows = safe.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("weft_d")) & (F.xxhash64("text") == F.col("weft_t")), "left").where("weft_r is null or size(weft_r) < weft_n")
     kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(weft_r, i)), '\\n')")
-    return rows.withColumn("text", F.when(F.col("weft_r").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    return rows.withColumn("text", F.when(F.col("weft_r").isNull(), F.col("text")).otherwise(kept)).select(*safe.columns).toDF(*names)
