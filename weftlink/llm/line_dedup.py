@@ -14,8 +14,8 @@ So no meeting at a single word grows beyond the lines that ``COMMON`` allows, an
 Of the sets that meet, pairs are kept whose sizes fit (length filter), whose places allow the overlap (positional
 filter) and whose parity bitmaps differ in no more bits than words may; these are verified on the whole sets.
 
-Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share their least or
-greatest word hash are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
+Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share one of their
+first ``FORE`` entries are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
 then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
 Only numbers are shuffled, texts are not, except to verify more lines than ``BROADCAST_LINES`` or ``BROADCAST_DOCS`` allow.
 
@@ -36,16 +36,20 @@ from .common import discard, shielded, stored
 CELLS = 1 << 18
 #: Occurrences from which a word is common: lines meet at pairs of such words.
 COMMON = 1024
-#: Slices of the join.
-ROUNDS = 3
+#: Entries of a line by which it meets the earliest line that has them; slices of the join.
+FORE, ROUNDS = 3, 1
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
 BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
 _REGEX = r"[\\x20\\x09-\\x0D]+"
 
 
-def words(line: str) -> str:
-    """SQL for the words of a string expression, lower-cased; a line without rare white space is split by blanks."""
-    return f"array_remove(if({line} rlike '[\\\\x09\\\\x0B-\\\\x0D]', split(lower({line}), '{_REGEX}'), split(lower({line}), ' ')), '')"
+#: SQL for whether a text has white space besides blanks and line ends.
+RARE = " or ".join(f"contains(text, chr({c}))" for c in (9, 11, 12, 13))
+
+
+def words(line: str, rare: str = "rare") -> str:
+    """SQL for the words of a string expression, lower-cased; without rare white space it is split by blanks, which is faster."""
+    return f"array_remove(if({rare}, split(lower({line}), '{_REGEX}'), split(lower({line}), ' ')), '')"
 
 
 def level(count: int) -> int:
@@ -55,7 +59,7 @@ def level(count: int) -> int:
 
 def levels(docs: DataFrame) -> str:
     """SQL for an array with the level of each cell, from the counts of all words of all texts; its length is fixed."""
-    held = docs.select(F.explode(F.expr(f"split(lower(text), '{_REGEX}')")).alias("w")).where("w <> ''")
+    held = docs.select(F.expr("replace(text, chr(10), ' ')").alias("text"), F.expr(RARE).alias("rare")).select(F.explode(F.expr(words("text"))).alias("w"))
     counted = held.select(F.expr(f"cast(xxhash64(w) & {CELLS - 1} as int)").alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
     step = F.when(F.col("n") < 2, 0).otherwise(F.floor(F.log2("n") * 4) + 1)
     both = counted.select("cell", step.cast("int").alias("level")).unionByName(docs.sparkSession.range(0, CELLS, 1, 8).selectExpr("cast(id as int) as cell", "0 as level"))
@@ -73,8 +77,8 @@ SIGNS = ["s1", "s2", "s3", "s4"]
 
 def bits(n: str) -> list[str]:
     """SQL for four words of a parity bitmap of the array w: 64 bits for up to 48 words, 128 for up to 112, else 256."""
-    one = "aggregate({}, 0L, (s, x) -> s ^ shiftleft(1L, cast(shiftright(x, 20) & 63 as int)))"
-    part = lambda mask, k: one.format(f"filter(w, x -> (shiftright(x, 26) & {mask}) = {k})")
+    one = "aggregate({}, 0L, (s, x) -> s ^ shiftleft(1L, cast(x & 63 as int)))"
+    part = lambda mask, k: one.format(f"filter(w, x -> (x & {mask << 6}) = {k << 6})")
     return [
         f"case when {n} <= 48 then {one.format('w')} when {n} <= 112 then {part(1, 0)} else {part(3, 0)} end",
         f"case when {n} <= 48 then 0L when {n} <= 112 then {part(1, 1)} else {part(3, 1)} end",
@@ -85,21 +89,20 @@ def bits(n: str) -> list[str]:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """A row for each line: doc_id, th (hash of the text), line, sid (digest of its set), n; for sets of three words and more also
-    s1 to s4 (bitmap), ends (least and greatest word hash) and keys (entries)."""
+    s1 to s4 (bitmap) and keys (entries, rare words first)."""
     common = level_of(COMMON) << 56
-    rows = docs.select("doc_id", "th", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "value"))
+    rows = docs.select("doc_id", "th", F.coalesce("text", F.lit("")).alias("text")).withColumn("rare", F.expr(RARE))  # once for a text, not for each line
+    rows = rows.select("doc_id", "th", "rare", F.posexplode(F.split("text", "\n", -1)).alias("line", "value"))
     rows = rows.select("doc_id", "th", "line", F.expr(words("value")).alias("v"))
-    word = f"shiftleft(cast(coalesce(get(%s, cast(xxhash64(x) & {CELLS - 1} as int)), 0) as bigint), 56) | shiftrightunsigned(xxhash64(x), 8)"
-    rows = rows.select("doc_id", "th", "line", F.expr(f"sort_array(array_distinct(transform(v, x -> {word % levels(docs)})))").alias("w"))
+    word = f"shiftleft(cast(coalesce(get({levels(docs)}, cast(h & {CELLS - 1} as int)), 0) as bigint), 56) | shiftrightunsigned(h, 8)"
+    rows = rows.select("doc_id", "th", "line", F.expr(f"sort_array(array_distinct(transform(transform(v, x -> xxhash64(x)), h -> {word})))").alias("w"))
     rows = rows.select("*", F.size("w").alias("n"))
     first = f"filter(transform(slice(w, 1, shiftright(n, 2) + 1), (x, i) -> if(x > {_HASH} and x < {common}, shiftleft(x & {_KEY}, 21) | least(i, {_PLACE}), -1L)), x -> x >= 0)"
     start = f"size(filter(slice(w, 1, shiftright(n, 2) + 1), x -> x < {common}))"
     end = "least(2 * shiftright(n, 2) + 1, n - 2)"
     pairs = f"case when get(w, shiftright(n, 2)) >= {common} and {start} <= {end} then transform(sequence({start}, {end}), p -> shiftleft(xxhash64(get(w, p), get(w, p + 1)) & {_KEY}, 21) | {_PAIR} | least(p, {_PLACE})) else cast(array() as array<bigint>) end"
-    hashes = f"transform(w, x -> x & {_HASH})"
-    big = {k: f"case when n >= 3 then {v} end" for k, v in zip(SIGNS, bits("n"), strict=True)} | {"h": f"case when n >= 3 then {hashes} end", "keys": f"case when n >= 3 then concat({first}, {pairs}) end"}
-    rows = rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), *[F.expr(v).alias(k) for k, v in big.items()])
-    return rows.withColumn("ends", F.expr("case when n >= 3 then array(array_min(h), -1 - array_max(h)) end")).drop("h")
+    big = {k: f"case when n >= 3 then {v} end" for k, v in zip([*SIGNS, "keys"], [*bits("n"), f"concat({first}, {pairs})"], strict=True)}
+    return rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), *[F.expr(v).alias(k) for k, v in big.items()])
 
 
 def level_of(count: int) -> int:
@@ -134,22 +137,23 @@ def sided(rows: DataFrame, side: str, *extra: str) -> DataFrame:
 
 
 def led(sets: DataFrame) -> DataFrame:
-    """Pairs a, b: b and the earliest set a that has the same least or greatest word hash."""
-    ends = sets.where("n >= 3").select("rid", "n", *SIGNS, F.explode("ends").alias("end"))
-    lead = ends.groupBy("end").agg(F.min(F.struct("rid", "n", *SIGNS)).alias("x"), F.count("*").alias("times")).where("times > 1")
-    lead = sided(lead.select("end", "x.*"), "a", "end")
-    return lead.join(sided(ends, "b", "end"), "end").where(f"rida < ridb and {alike()}").selectExpr("rida as a", "ridb as b").distinct()
+    """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
+    fore = sets.where("n >= 3").select("rid", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)"))
+    lead = fore.groupBy("key").agg(F.min(F.struct("rid", "n", *SIGNS)).alias("x"), F.count("*").alias("times")).where("times > 1")
+    lead = sided(lead.select("key", "x.*"), "a", "key")
+    return lead.join(sided(fore, "b", "key"), "key").where(f"rida < ridb and {alike()}").selectExpr("rida as a", "ridb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
     """Pairs a, b of sets that meet in slice k, a before b, b not covered."""
-    # Both sides have the same columns, so that one exchange serves both; the last bit of rid tells what is not covered.
+    # Both sides have the same columns, and the last bit of rid tells what is not covered, in a condition that belongs to
+    # both sides (rida is never below 0), so that one exchange serves both.
     own = sets.where("n >= 3").join(covered.select(F.col("b").alias("rid"), F.lit(1).alias("done")), "rid", "left")
     entries = own.select(F.expr("2 * rid + if(done is null, 1, 0)").alias("rid"), "n", *SIGNS, F.explode("keys").alias("e"))
     entries = entries.where(f"pmod(shiftright(e, 21), {rounds}) = {k}").withColumn("key", F.expr("shiftright(e, 20)"))
     one = entries.select("key", *[F.col(c).alias(f"{c}a") for c in ("e", "rid", "n", *SIGNS)])
     two = entries.select("key", *[F.col(c).alias(f"{c}b") for c in ("e", "rid", "n", *SIGNS)])
-    pairs = one.join(two, (one["key"] == two["key"]) & F.expr(f"(ridb & 1) = 1 and shiftright(rida, 1) < shiftright(ridb, 1) and {placed()} and {alike()}"))
+    pairs = one.join(two, (one["key"] == two["key"]) & F.expr(f"least(rida + 1, ridb & 1) = 1 and shiftright(rida, 1) < shiftright(ridb, 1) and {placed()} and {alike()}"))
     return pairs.selectExpr("shiftright(rida, 1) as a", "shiftright(ridb, 1) as b").distinct()
 
 
@@ -160,8 +164,8 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     places = stored(places.toDF("d", "t", "own"), "places")
     size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("own")), F.lit(0)).alias("lines")).first()
     wanted = F.broadcast(places) if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES else places
-    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.split("text", "\n", -1).alias("lines"), "own")
-    rows = rows.select(F.explode(F.expr("transform(own, x -> named_struct('rid', x.rid, 'line', get(lines, x.line)))")).alias("x")).select("x.*")
+    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.expr(RARE).alias("rare"), F.split("text", "\n", -1).alias("lines"), F.explode("own").alias("x"))
+    rows = rows.select("rare", "x.rid", F.expr("get(lines, x.line)").alias("line"))
     whole = rows.select("rid", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["rid"])
     whole = stored(whole, "whole")
     one, two = whole.select(F.col("rid").alias("a"), F.col("w").alias("wa")), whole.select(F.col("rid").alias("b"), F.col("w").alias("wb"))
@@ -177,11 +181,11 @@ def removals(docs: DataFrame) -> DataFrame:
     table = stored(line_table(docs), "lines")
     held = table.where("n > 0")
     place = F.struct("doc_id", "th", "line")
-    firsts = held.groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("ends", "keys", *SIGNS)).alias("x"))
+    firsts = held.groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
     firsts = stored(firsts.select("sid", "first", "n", "x.*"), "firsts")
     discard()
     # Numbered in document order; stored, so that the numbers stay.
-    sets = firsts.orderBy("first").select(F.monotonically_increasing_id().alias("rid"), "sid", "first.*", "n", "ends", "keys", *SIGNS)
+    sets = firsts.orderBy("first").select(F.monotonically_increasing_id().alias("rid"), "sid", "first.*", "n", "keys", *SIGNS)
     sets = stored(sets, "sets")
     discard(firsts)
     pairs = stored(led(sets), "led")
