@@ -14,9 +14,9 @@ So no meeting at a single word grows beyond the lines that ``COMMON`` allows, an
 Of the sets that meet, pairs are kept whose sizes fit (length filter), whose places allow the overlap (positional
 filter) and whose parity bitmaps differ in no more bits than words may; these are verified on the whole sets.
 
-Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share one of their
+Scale.  Equal sets enter once.  A group of near copies is collapsed first: lines that share one of their
 first ``FORE`` entries are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
-then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
+then seeks pairs with another line only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
 Only numbers are shuffled, texts are not, except to verify more lines than ``BROADCAST_LINES`` or ``BROADCAST_DOCS`` allow.
 
 Defined cases: a null or empty text, and a line without words, keep what they have; sets of one or
@@ -37,7 +37,7 @@ CELLS = 1 << 18
 #: Occurrences from which a word is common: lines meet at pairs of such words.
 COMMON = 1024
 #: Entries of a line by which it meets the earliest line that has them; slices of the join.
-FORE, ROUNDS = 3, 1
+FORE, ROUNDS = 3, 2
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
 BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
 _REGEX = r"[\\x20\\x09-\\x0D]+"
@@ -114,11 +114,10 @@ NEED = "((3 * (na + nb) + 6) div 7)"
 _SPARE = f"(na + nb - 2 * {NEED})"
 
 
-def alike(a: str = "a", b: str = "b") -> str:
+def alike() -> str:
     """Length and bitmap filters of a pair with columns n, s1 to s4 of each side: words that only one of them has
     turn one bit each, so more bits than such words that are allowed rule the pair out."""
-    s = {x: [f"{k}{x}" for k in SIGNS] for x in (a, b)}
-    x1, x2, x3, x4 = (f"({p} ^ {q})" for p, q in zip(s[a], s[b], strict=True))
+    x1, x2, x3, x4 = (f"({k}a ^ {k}b)" for k in SIGNS)
     differ = f"bit_count({x1} ^ {x2} ^ {x3} ^ {x4}) <= {_SPARE} and (least(na, nb) <= 48 or bit_count({x1} ^ {x3}) + bit_count({x2} ^ {x4}) <= {_SPARE}) and (least(na, nb) <= 112 or bit_count({x1}) + bit_count({x2}) + bit_count({x3}) + bit_count({x4}) <= {_SPARE})"
     return f"4 * least(na, nb) >= 3 * greatest(na, nb) and {differ}"
 
@@ -132,44 +131,40 @@ def placed() -> str:
     return f"if(ea & {_PAIR} = 0, {single}, {double})"
 
 
-def sided(rows: DataFrame, side: str, *extra: str) -> DataFrame:
-    return rows.select(*extra, *[F.col(c).alias(f"{c}{side}") for c in ("rid", "n", *SIGNS)])
-
-
 def led(sets: DataFrame) -> DataFrame:
     """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
-    fore = sets.where("n >= 3").select("rid", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)"))
-    lead = fore.groupBy("key").agg(F.min(F.struct("rid", "n", *SIGNS)).alias("x"), F.count("*").alias("times")).where("times > 1")
-    lead = sided(lead.select("key", "x.*"), "a", "key")
-    return lead.join(sided(fore, "b", "key"), "key").where(f"rida < ridb and {alike()}").selectExpr("rida as a", "ridb as b").distinct()
+    columns = ["doc_id", "line", "sid", "n", *SIGNS]
+    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "sid", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)"))
+    lead = fore.groupBy("key").agg(F.min(F.struct(*columns)).alias("x"), F.count("*").alias("times")).where("times > 1")
+    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("sid", "n", *SIGNS)])
+    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("sid", "n", *SIGNS)])
+    return lead.join(rows, F.expr(f"k = key and sida <> sidb and {alike()}")).selectExpr("sida as a", "sidb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
-    """Pairs a, b of sets that meet in slice k, a before b, b not covered."""
-    # Both sides have the same columns, and the last bit of rid tells what is not covered, in a condition that belongs to
-    # both sides (rida is never below 0), so that one exchange serves both.
-    own = sets.where("n >= 3").join(covered.select(F.col("b").alias("rid"), F.lit(1).alias("done")), "rid", "left")
-    entries = own.select(F.expr("2 * rid + if(done is null, 1, 0)").alias("rid"), "n", *SIGNS, F.explode("keys").alias("e"))
+    """Pairs a, b of sets that meet in slice k, one of them not covered."""
+    # Both sides have the same columns, and all conditions belong to both, so that one exchange serves both.
+    own = sets.where("n >= 3").join(covered.select(F.col("late").alias("sid"), F.lit(1).alias("done")), "sid", "left")
+    entries = own.select("sid", F.expr("2 * n + if(done is null, 1, 0)").alias("m"), *SIGNS, F.explode("keys").alias("e"))
     entries = entries.where(f"pmod(shiftright(e, 21), {rounds}) = {k}").withColumn("key", F.expr("shiftright(e, 20)"))
-    one = entries.select("key", *[F.col(c).alias(f"{c}a") for c in ("e", "rid", "n", *SIGNS)])
-    two = entries.select("key", *[F.col(c).alias(f"{c}b") for c in ("e", "rid", "n", *SIGNS)])
-    pairs = one.join(two, (one["key"] == two["key"]) & F.expr(f"least(rida + 1, ridb & 1) = 1 and shiftright(rida, 1) < shiftright(ridb, 1) and {placed()} and {alike()}"))
-    return pairs.selectExpr("shiftright(rida, 1) as a", "shiftright(ridb, 1) as b").distinct()
+    one, two = (entries.select("key", *[F.col(c).alias(f"{c}{x}") for c in ("e", "sid", "m", *SIGNS)]) for x in "ab")
+    fits = f"sida < sidb and ((ma | mb) & 1) = 1 and {placed()} and {alike()}".replace("na", "(ma div 2)").replace("nb", "(mb div 2)")
+    return one.join(two, (one["key"] == two["key"]) & F.expr(fits)).selectExpr("sida as a", "sidb as b").distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """b of the pairs whose whole sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    places = sets.select("rid", "doc_id", "th", "line").join(needed, "rid").groupBy("doc_id", "th").agg(F.collect_list(F.struct("line", "rid")).alias("own"))
+    """late: the later set of each pair whose whole sets reach the threshold."""
+    needed = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    places = sets.select("sid", "first").join(needed, "sid").groupBy("first.doc_id", "first.th").agg(F.collect_list(F.struct("sid", "first")).alias("own"))
     places = stored(places.toDF("d", "t", "own"), "places")
     size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("own")), F.lit(0)).alias("lines")).first()
     wanted = F.broadcast(places) if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES else places
     rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.expr(RARE).alias("rare"), F.split("text", "\n", -1).alias("lines"), F.explode("own").alias("x"))
-    rows = rows.select("rare", "x.rid", F.expr("get(lines, x.line)").alias("line"))
-    whole = rows.select("rid", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["rid"])
+    rows = rows.select("rare", "x.sid", "x.first", F.expr("get(lines, x.first.line)").alias("line"))
+    whole = rows.select("sid", "first", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["sid"])
     whole = stored(whole, "whole")
-    one, two = whole.select(F.col("rid").alias("a"), F.col("w").alias("wa")), whole.select(F.col("rid").alias("b"), F.col("w").alias("wb"))
-    found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select("b").distinct()
+    one, two = (whole.select(F.col("sid").alias(x), F.col("w").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select(F.expr("if(fa < fb, b, a)").alias("late")).distinct()
     found = stored(found, "similar")
     discard(places, whole)
     return found
@@ -179,15 +174,11 @@ def removals(docs: DataFrame) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, th, n_lines (lines that hold a word) and removed (their numbers, from 0)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     table = stored(line_table(docs), "lines")
-    held = table.where("n > 0")
     place = F.struct("doc_id", "th", "line")
-    firsts = held.groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
-    firsts = stored(firsts.select("sid", "first", "n", "x.*"), "firsts")
-    discard()
-    # Numbered in document order; stored, so that the numbers stay.
-    sets = firsts.orderBy("first").select(F.monotonically_increasing_id().alias("rid"), "sid", "first.*", "n", "keys", *SIGNS)
-    sets = stored(sets, "sets")
-    discard(firsts)
+    sets = table.where("n > 0").groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
+    sets = stored(sets.select("sid", "first", "n", "x.*"), "sets")
+    lines = stored(table.select("doc_id", "th", "line", F.when(F.col("n") > 0, F.col("sid")).alias("sid")), "places")
+    discard(table)
     pairs = stored(led(sets), "led")
     late = similar(docs, sets, pairs)
     discard(pairs)
@@ -198,15 +189,13 @@ def removals(docs: DataFrame) -> DataFrame:
     pairs = found[0]
     for x in found[1:]:
         pairs = pairs.unionByName(x)
-    pairs = stored(pairs.distinct(), "pairs")
+    late = late.unionByName(similar(docs, sets, pairs.distinct())).distinct()
     discard(*found)
-    late = late.unionByName(similar(docs, sets, pairs))
-    discard(pairs)
-    known = sets.select("sid", "rid", F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("line").alias("l")).join(late.distinct().select(F.col("b").alias("rid"), F.lit(True).alias("late")), "rid", "left")
-    marked = held.select("doc_id", "th", "line", "sid").join(known, "sid")
-    gone = F.col("late").isNotNull() | (F.struct("doc_id", "th", "line") != F.struct("d", "t", "l"))
+    known = sets.select("sid", "first").join(late.select(F.col("late").alias("sid"), F.lit(True).alias("late")), "sid", "left")
+    marked = lines.where("sid is not null").join(known, "sid")
+    gone = F.col("late").isNotNull() | (place != F.col("first"))
     removed = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed")).toDF("d", "t", "n_lines", "removed")
-    rows = table.where("line = 0").select("doc_id", "th").join(removed, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left")
+    rows = lines.where("line = 0").select("doc_id", "th").join(removed, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left")
     return rows.select("doc_id", "th", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
