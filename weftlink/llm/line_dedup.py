@@ -36,6 +36,8 @@ from .common import discard, shielded, stored
 CELLS = 1 << 18
 #: Occurrences from which a word is common: lines meet at pairs of such words.
 COMMON = 1024
+#: Sets of up to so many words have bitmaps of 64 and 128 bits, larger ones of 256.
+SMALL, MIDDLE = 48, 112
 #: Entries of a line by which it meets the earliest line that has them; slices of the join.
 FORE, ROUNDS = 3, 2
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
@@ -75,15 +77,15 @@ _KEY, _PAIR, _PLACE = (1 << 42) - 1, 1 << 20, (1 << 20) - 1
 SIGNS = ["s1", "s2", "s3", "s4"]
 
 
-def bits(n: str) -> list[str]:
-    """SQL for four words of a parity bitmap of the array w: 64 bits for up to 48 words, 128 for up to 112, else 256."""
+def bits() -> list[str]:
+    """SQL for four words of a parity bitmap of the array w: 64 bits for up to ``SMALL`` words, 128 for up to ``MIDDLE``, else 256."""
     one = "aggregate({}, 0L, (s, x) -> s ^ shiftleft(1L, cast(x & 63 as int)))"
-    part = lambda mask, k: one.format(f"filter(w, x -> (x & {mask << 6}) = {k << 6})")
+    part = lambda of, k: one.format(f"filter(w, x -> (x & {64 * (of - 1)}) = {64 * k})")
     return [
-        f"case when {n} <= 48 then {one.format('w')} when {n} <= 112 then {part(1, 0)} else {part(3, 0)} end",
-        f"case when {n} <= 48 then 0L when {n} <= 112 then {part(1, 1)} else {part(3, 1)} end",
-        f"case when {n} <= 112 then 0L else {part(3, 2)} end",
-        f"case when {n} <= 112 then 0L else {part(3, 3)} end",
+        f"case when n <= {SMALL} then {one.format('w')} when n <= {MIDDLE} then {part(2, 0)} else {part(4, 0)} end",
+        f"case when n <= {SMALL} then 0L when n <= {MIDDLE} then {part(2, 1)} else {part(4, 1)} end",
+        f"case when n <= {MIDDLE} then 0L else {part(4, 2)} end",
+        f"case when n <= {MIDDLE} then 0L else {part(4, 3)} end",
     ]
 
 
@@ -101,7 +103,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     start = f"size(filter(slice(w, 1, shiftright(n, 2) + 1), x -> x < {common}))"
     end = "least(2 * shiftright(n, 2) + 1, n - 2)"
     pairs = f"case when get(w, shiftright(n, 2)) >= {common} and {start} <= {end} then transform(sequence({start}, {end}), p -> shiftleft(xxhash64(get(w, p), get(w, p + 1)) & {_KEY}, 21) | {_PAIR} | least(p, {_PLACE})) else cast(array() as array<bigint>) end"
-    big = {k: f"case when n >= 3 then {v} end" for k, v in zip([*SIGNS, "keys"], [*bits("n"), f"concat({first}, {pairs})"], strict=True)}
+    big = {k: f"case when n >= 3 then {v} end" for k, v in zip([*SIGNS, "keys"], [*bits(), f"concat({first}, {pairs})"], strict=True)}
     return rows.select("doc_id", "th", "line", "n", F.xxhash64("w").alias("sid"), *[F.expr(v).alias(k) for k, v in big.items()])
 
 
@@ -109,61 +111,53 @@ def level_of(count: int) -> int:
     return level(count)
 
 
-#: Least overlap of sets of na and nb words, and the bits in which their bitmaps may differ.
-NEED = "((3 * (na + nb) + 6) div 7)"
-_SPARE = f"(na + nb - 2 * {NEED})"
-
-
-def alike() -> str:
-    """Length and bitmap filters of a pair with columns n, s1 to s4 of each side: words that only one of them has
-    turn one bit each, so more bits than such words that are allowed rule the pair out."""
-    x1, x2, x3, x4 = (f"({k}a ^ {k}b)" for k in SIGNS)
-    differ = f"bit_count({x1} ^ {x2} ^ {x3} ^ {x4}) <= {_SPARE} and (least(na, nb) <= 48 or bit_count({x1} ^ {x3}) + bit_count({x2} ^ {x4}) <= {_SPARE}) and (least(na, nb) <= 112 or bit_count({x1}) + bit_count({x2}) + bit_count({x3}) + bit_count({x4}) <= {_SPARE})"
-    return f"4 * least(na, nb) >= 3 * greatest(na, nb) and {differ}"
-
-
-def placed() -> str:
-    """Positional filter of entries ea and eb: no more words may stand before the first shared one, or the first shared
-    neighbours, than the sets may have for themselves."""
-    pa, pb = f"(ea & {_PLACE})", f"(eb & {_PLACE})"
-    single = f"least(na - {pa}, nb - {pb}) >= {NEED}"
-    double = f"{pa} <= 2 * na + nb - 3 * {NEED} and {pb} <= 2 * nb + na - 3 * {NEED}"
-    return f"if(ea & {_PAIR} = 0, {single}, {double})"
+#: Words that sets of na and nb words may have for themselves at the threshold, both together.
+_SPARE = "(na + nb - 2 * ((3 * (na + nb) + 6) div 7))"
+#: Length filter.
+FITS = "4 * na >= 3 * nb and 4 * nb >= 3 * na"
+#: Positional filter of entries at pa and pb: no more words may stand before the first shared one, or before the first shared
+#: neighbours, than the sets may have for themselves.
+PLACED = "if(paired, 7 * (2 * na + nb - pa) >= 9 * (na + nb) and 7 * (2 * nb + na - pb) >= 9 * (na + nb), 7 * (na - pa) >= 3 * (na + nb) and 7 * (nb - pb) >= 3 * (na + nb))"
+#: Bitmap filter: a word that only one set has turns one bit, so more differing bits than such words that are allowed rule a pair out.
+_X = {k: f"({k}a ^ {k}b)" for k in SIGNS}
+_BITS = [" ^ ".join(_X.values()), f"{_X['s1']} ^ {_X['s3']}", f"{_X['s2']} ^ {_X['s4']}"]
+ALIKE = f"bit_count({_BITS[0]}) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL} or bit_count({_BITS[1]}) + bit_count({_BITS[2]}) <= {_SPARE} and (na <= {MIDDLE} or nb <= {MIDDLE} or {' + '.join(f'bit_count({x})' for x in _X.values())} <= {_SPARE}))"
 
 
 def led(sets: DataFrame) -> DataFrame:
     """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
-    columns = ["doc_id", "line", "sid", "n", *SIGNS]
-    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "sid", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)"))
+    columns = ["doc_id", "line", "id", "n", *SIGNS]
+    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "id", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
     lead = fore.groupBy("key").agg(F.min(F.struct(*columns)).alias("x"), F.count("*").alias("times")).where("times > 1")
-    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("sid", "n", *SIGNS)])
-    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("sid", "n", *SIGNS)])
-    return lead.join(rows, F.expr(f"k = key and sida <> sidb and {alike()}")).selectExpr("sida as a", "sidb as b").distinct()
+    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("id", "n", *SIGNS)])
+    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", *SIGNS)])
+    return lead.join(rows, F.expr(f"k = key and ida <> idb and {FITS} and {ALIKE}")).selectExpr("ida as a", "idb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
     """Pairs a, b of sets that meet in slice k, one of them not covered."""
-    # Both sides have the same columns, and all conditions belong to both, so that one exchange serves both.
-    own = sets.where("n >= 3").join(covered.select(F.col("late").alias("sid"), F.lit(1).alias("done")), "sid", "left")
-    entries = own.select("sid", F.expr("2 * n + if(done is null, 1, 0)").alias("m"), *SIGNS, F.explode("keys").alias("e"))
-    entries = entries.where(f"pmod(shiftright(e, 21), {rounds}) = {k}").withColumn("key", F.expr("shiftright(e, 20)"))
-    one, two = (entries.select("key", *[F.col(c).alias(f"{c}{x}") for c in ("e", "sid", "m", *SIGNS)]) for x in "ab")
-    fits = f"sida < sidb and ((ma | mb) & 1) = 1 and {placed()} and {alike()}".replace("na", "(ma div 2)").replace("nb", "(mb div 2)")
-    return one.join(two, (one["key"] == two["key"]) & F.expr(fits)).selectExpr("sida as a", "sidb as b").distinct()
+    # Both sides have the same columns, and all conditions belong to both, so that one exchange serves both.  The last bit of n
+    # tells what is not covered.
+    own = sets.where("n >= 3").join(covered.select(F.col("late").alias("id"), F.lit(1).alias("done")), "id", "left")
+    entries = own.select("id", F.expr("2 * n + if(done is null, 1, 0)").alias("m"), *SIGNS, F.explode("keys").alias("e")).where(f"pmod(shiftright(e, 21), {rounds}) = {k}")
+    entries = entries.select(F.expr("shiftright(e, 20)").alias("key"), F.expr(f"cast(e & {_PLACE} as int)").alias("p"), "id", "m", *SIGNS)
+    one, two = (entries.select(*[F.col(c).alias(f"{c}{x}") for c in ("key", "p", "id", "m", *SIGNS)]) for x in "ab")
+    fits = f"keya = keyb and ida < idb and {FITS} and ((ma | mb) & 1) = 1 and {PLACED} and {ALIKE}".replace("paired", "keya & 1 = 1")
+    return one.join(two, F.expr(fits.replace("na", "shiftright(ma, 1)").replace("nb", "shiftright(mb, 1)"))).selectExpr("ida as a", "idb as b").distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """late: the later set of each pair whose whole sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    places = sets.select("sid", "first").join(needed, "sid").groupBy("first.doc_id", "first.th").agg(F.collect_list(F.struct("sid", "first")).alias("own"))
+    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    places = sets.select("id", "first").join(needed, "id").groupBy("first.doc_id", "first.th").agg(F.collect_list(F.struct("id", "first")).alias("own"))
     places = stored(places.toDF("d", "t", "own"), "places")
     size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("own")), F.lit(0)).alias("lines")).first()
     wanted = F.broadcast(places) if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES else places
     rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.expr(RARE).alias("rare"), F.split("text", "\n", -1).alias("lines"), F.explode("own").alias("x"))
-    rows = rows.select("rare", "x.sid", "x.first", F.expr("get(lines, x.first.line)").alias("line"))
-    whole = rows.select("sid", "first", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["sid"])
+    rows = rows.select("rare", "x.id", "x.first", F.expr("get(lines, x.first.line)").alias("line"))
+    whole = rows.select("id", "first", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["id"])
     whole = stored(whole, "whole")
-    one, two = (whole.select(F.col("sid").alias(x), F.col("w").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    one, two = (whole.select(F.col("id").alias(x), F.col("w").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
     found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select(F.expr("if(fa < fb, b, a)").alias("late")).distinct()
     found = stored(found, "similar")
     discard(places, whole)
@@ -176,7 +170,7 @@ def removals(docs: DataFrame) -> DataFrame:
     table = stored(line_table(docs), "lines")
     place = F.struct("doc_id", "th", "line")
     sets = table.where("n > 0").groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
-    sets = stored(sets.select("sid", "first", "n", "x.*"), "sets")
+    sets = stored(sets.select(F.monotonically_increasing_id().alias("id"), "sid", "first", "n", "x.*"), "sets")  # stored, so that the ids stay
     lines = stored(table.select("doc_id", "th", "line", F.when(F.col("n") > 0, F.col("sid")).alias("sid")), "places")
     discard(table)
     pairs = stored(led(sets), "led")
@@ -191,7 +185,7 @@ def removals(docs: DataFrame) -> DataFrame:
         pairs = pairs.unionByName(x)
     late = late.unionByName(similar(docs, sets, pairs.distinct())).distinct()
     discard(*found)
-    known = sets.select("sid", "first").join(late.select(F.col("late").alias("sid"), F.lit(True).alias("late")), "sid", "left")
+    known = sets.select("sid", "id", "first").join(late.select(F.col("late").alias("id"), F.lit(True).alias("late")), "id", "left")
     marked = lines.where("sid is not null").join(known, "sid")
     gone = F.col("late").isNotNull() | (place != F.col("first"))
     removed = marked.groupBy("doc_id", "th").agg(F.count_distinct("line").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed")).toDF("d", "t", "n_lines", "removed")
