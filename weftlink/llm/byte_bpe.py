@@ -5,7 +5,8 @@ vocabulary finds longest matches.  A sequence of tokens is the BPE encoding of a
 string exactly when every adjacent pair is the encoding of its concatenation, so
 the encoder starts from the longest matches, checks neighbours against a memo
 and backtracks to shorter tokens only where a pair is incompatible.  Every
-position is left for good once it proves to be a dead end, hence linear time.
+position is left for good once it proves to be a dead end, and a step looks at no more bytes than the longest token has,
+hence linear time.
 
 Defined cases: a null text is empty; an empty text has no tokens; texts of any
 length are encoded whole, since matches of the split pattern are independent;
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-#: Entries held by each of the encoder's two generations of remembered matches, and by the memo of pairs.
-REMEMBERED = 300_000
+#: Matches of up to REMEMBERED_BYTES that each of the encoder's two generations remembers, and pairs that its memo holds: together
+#: less than 200 MB in a worker, while a task runs.
+REMEMBERED, REMEMBERED_BYTES, PAIRS = 150_000, 64, 300_000
 
 
 class Encoder:
@@ -39,6 +41,7 @@ class Encoder:
         self.bytes = {i: t for t, i in ranks.items()}
         self.latin = {t.decode("latin-1"): i for t, i in ranks.items()}
         self.size = {i: len(t) for t, i in ranks.items()}
+        self.longest = max(self.size.values(), default=1)
         #: For each token the longest other token that it begins with, or -1.
         self.prefix = {i: next((ranks[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in ranks), -1) for t, i in ranks.items()}
         self.automaton = ahocorasick.Automaton()
@@ -78,7 +81,7 @@ class Encoder:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 2 * REMEMBERED:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.border_holds(a, b)
         return known
@@ -114,7 +117,7 @@ class Encoder:
 
     def longest_at(self, latin: str, start: int) -> int:
         """The longest token at ``start``, or -1."""
-        rest = latin[start:]
+        rest = latin[start : start + self.longest]  # no token is longer, so a step costs the same in a match of any length
         n = self.automaton.longest_prefix(rest)  # of any path in the trie; the token may be shorter
         while n:
             i = self.latin.get(rest[:n])
@@ -155,7 +158,7 @@ class Encoder:
                 hit = ",".join(map(str, ids)), self.decode(ids)
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
-            if len(piece) <= 64:
+            if len(piece) <= REMEMBERED_BYTES:
                 self.young[piece] = hit
         return hit
 
@@ -169,6 +172,10 @@ class Encoder:
         joined = self.encode_joined(text)[0]
         return [int(i) for i in joined.split(",")] if joined else []
 
+    def forget(self) -> None:
+        """Drop what is remembered: a worker holds nothing between tasks but the vocabulary."""
+        self.pairs, self.young, self.old = {}, {}, {}
+
     def decode(self, ids) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
 
@@ -224,5 +231,6 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 decoded.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
