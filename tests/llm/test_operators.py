@@ -103,7 +103,9 @@ def test_decontamination(spark, docs, none):
     assert "1" in near[4].near_items
 
 
-def test_shingle_join(docs, none):
+@pytest.mark.parametrize("meeting", [12, 2])
+def test_shingle_join(spark, docs, none, meeting, monkeypatch):
+    monkeypatch.setattr(shingle_join, "MEETING", meeting)
     sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := SPACED.findall(low(t))) else frozenset() for i, t in enumerate(TEXTS)}
     parent = {i: i for i in sets}
 
@@ -120,9 +122,14 @@ def test_shingle_join(docs, none):
     rows = shingle_join.groups(docs).collect()
     assert len(rows) == len(TEXTS) + 1
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in rows} == {(i, len(s), find(i)) for i, s in sets.items()}
+    docs = docs.withColumnRenamed("score", "gone").withColumnRenamed("source", "weft_gone")
     kept = shingle_join.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [i for i in sets if find(i) == i]
     assert shingle_join.groups(none).count() == 0
+    line = [f"w{k}" for k in range(40)]
+    chain = [(7, line), (None, [*line[:38], "x", "y"]), (9, [*line[2:38], "x", "y"])]  # 7 and 9 are linked by the row without an id
+    linked = shingle_join.groups(spark.createDataFrame([(i, " ".join(w)) for i, w in chain], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in linked} == {7: 7, None: 7, 9: 7}
 
 
 def test_prefix_tree():
@@ -133,7 +140,7 @@ def test_prefix_tree():
     assert sorted(shingle_join.PrefixTree(sets).similar(base)) == wanted and 0 < len(wanted) < 80
 
 
-@pytest.mark.parametrize("common", [1024, 6])
+@pytest.mark.parametrize("common", [256, 6])
 def test_line_dedup(docs, none, common, monkeypatch):
     monkeypatch.setattr(line_dedup, "COMMON", common)
     earlier, gone, held = [], {}, {}
@@ -149,7 +156,7 @@ def test_line_dedup(docs, none, common, monkeypatch):
     got = by_id(line_dedup.report(docs))
     for i in gone:
         assert (got[i].n_lines, got[i].removed_lines) == (held[i], ",".join(map(str, gone[i])))
-    if common == 1024:
+    if common == 256:
         odd = docs.withColumnsRenamed({"score": "weft_d", "shingles": "weft_r"})
         clean = line_dedup.cleaned(odd)
         assert clean.columns == odd.columns

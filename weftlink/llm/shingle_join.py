@@ -10,16 +10,17 @@ reach the overlap that is asked for.
 
 Scale.  Equal sets are one set from the start, found by digest, so copies cost
 one entry per task, not pairs.  In a small meeting all pairs are candidates.  In
-a large one (more than ``MEETING`` sets) each set first meets the one of least
+a large one (more than ``MEETING`` sets) each set that has the n-gram among its first ``FORE`` meets the one of least
 digest, and after components are known only pairs that lie in different
 components are looked at, so a group of near copies costs its size, and no link
-between components is lost.  The candidates of one set are split into parts of
+between components is lost.  Parity sketches of the whole sets, of ``64 * SKETCH`` bits, are held against each other there, so sets
+that share a passage and no more make no rows.  The candidates of one set are split into parts of
 ``PART`` sets.  Exchanges carry packed arrays.
 
 Defined cases: a null text or a text without words has no n-grams and is alone;
 a text of fewer words than an n-gram is one n-gram; repeated rows and ids are
 equal sets and get one row each; a null id never names a component while another
-id is there.  Sets are compared by 63-bit hashes of their n-grams.
+id is there; an empty table gives no rows; other columns are left alone, whatever they are called.  Sets are compared by 63-bit hashes of their n-grams.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED_WORD, U64, cut, discard, mixed, pack, passes, prepare, runs, shard_count, spans, stored, unpack, word_hashes
+from .common import LOWER, SPACED_WORD, U64, cut, discard, mixed, pack, passes, prepare, runs, shard_count, shielded, spans, stored, unpack, word_hashes
 from .components import components
 
 WORDS = 5
@@ -39,6 +40,8 @@ WORDS = 5
 NUM, DEN = 75, 100
 #: Sets that meet at an n-gram before only links between components are sought; candidates in a part.
 MEETING, PART = 12, 256
+#: First n-grams of a set at which it meets the first set of a large meeting; 64-bit words of a sketch.
+FORE, SKETCH = 3, 8
 #: Frequent n-grams that the global order knows; the rest are ordered by hash.  It only decides the cost.
 FREQUENT = 1 << 18
 #: Ids that may be broadcast; beyond it they are joined by a shuffle.
@@ -159,7 +162,7 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set, bitmap).
 
     Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
-    meetings: sets, sizes, places, n-grams and bitmaps.
+    meetings: sets, sizes, places and n-grams.
     """
     order = np.lexsort((ids, keys))
     keys, ids, sizes, places = keys[order], ids[order], sizes[order], places[order]
@@ -181,13 +184,13 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     a, b = np.concatenate(left), np.concatenate(right)
     big = np.flatnonzero(size > meeting)
     lead = np.repeat(at[:-1], n)[big]
-    other = lead != big
+    other = (lead != big) & (places[big] < FORE)
     small = np.concatenate([np.ones(len(a), dtype=np.int64), np.zeros(int(other.sum()), dtype=np.int64)])
     a, b = np.concatenate([a, lead[other]]), np.concatenate([b, big[other]])
     first = foremost(sizes[a], places[a], sizes[b], places[b])
     keep = (first | (small == 1)) & alike(sizes[a], maps[a], sizes[b], maps[b])
     a, b, small, first = a[keep], b[keep], small[keep], first[keep]
-    return (ids[a], sizes[a], ids[b], sizes[b], small, first.astype(np.int64)), (ids[big], sizes[big], places[big], keys[big], maps[big])
+    return (ids[a], sizes[a], ids[b], sizes[b], small, first.astype(np.int64)), (ids[big], sizes[big], places[big], keys[big])
 
 
 #: Sets of up to so many n-grams have a bitmap of all of them, larger ones of their first ones.
@@ -227,8 +230,17 @@ def distinct_pairs(a, size_a, b, size_b, *sums):
     return a[fresh], size_a[fresh], b[fresh], size_b[fresh], *(np.add.reduceat(x[order].astype(np.int64), at) if len(a) else x.astype(np.int64) for x in sums)
 
 
-ENTRY = "kind int, doc_id long, digest long, n int, shard int, block binary"
-MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int, bits long"
+SIGNS = [f"s{k}" for k in range(SKETCH)]
+ENTRY = "kind int, doc_id long, digest long, n int, shard int, block binary, " + ", ".join(f"{s} long" for s in SIGNS)
+MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int"
+#: Bits in which the parity sketches of two sets differ, in SQL.
+SKETCHED = " + ".join(f"bit_count({s}a ^ {s}b)" for s in SIGNS)
+
+
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Parity of the number of n-grams in each of 64 * SKETCH cells, as signed words: an n-gram that one of two sets has alone turns one bit."""
+    odd = np.bincount(((grams >> U64(17)) % U64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _batch(schema: str, rows: int, **columns) -> pa.RecordBatch:
@@ -244,17 +256,19 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Order = order.value
         for batch in batches:
-            digests, sizes, firsts, maps, seen = [], [], [], [], {}
+            digests, sizes, sketches, firsts, maps, seen = [], [], [], [], [], {}
             for grams in shingles(batch.column(1), width):
                 d = digest(grams) if len(grams) else None
                 digests.append(d)
                 sizes.append(len(grams))
+                sketches.append(sketch(grams))
                 if d is not None and (d, len(grams)) not in seen:
                     seen[d, len(grams)] = len(firsts)
                     keys = known.keys(grams)
                     firsts.append(keys[: prefix_length(len(keys))])
                     maps.append(bitmap(keys))
-            yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes)
+            words = np.stack(sketches, axis=1) if sketches else np.zeros((SKETCH, 0), np.int64)
+            yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes, **dict(zip(SIGNS, words, strict=True)))
             if not firsts:
                 continue
             lengths = np.array([len(f) for f in firsts])
@@ -285,7 +299,7 @@ def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> Dat
         for block in table.column("block"):
             keys, local, place, ids, size, bits = unpack(block.as_py())
             parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local]))
-        pairs, (ids, sizes, places, keys, bits) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)), meeting)
+        pairs, (ids, sizes, places, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)), meeting)
         a, sa, b, sb, shared, first = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
         rank = np.argsort(to, kind="stable")
@@ -293,7 +307,7 @@ def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> Dat
         held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
         blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32), np.minimum(first[own], 255).astype(np.uint8)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
         out = [_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks)]
-        out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32), bits=bits.view(np.int64)))
+        out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32)))
         return pa.Table.from_batches(out)
 
     return entries.groupBy("shard").applyInArrow(run, MEET)
@@ -330,7 +344,7 @@ def sets_of(docs: DataFrame, sets: DataFrame, order, width: int) -> DataFrame:
     ids = sets.select(F.col("rep").alias("doc_id"), F.col("digest").alias("wanted"))
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").select("wanted", "text")
+    rows = docs.select(F.col("doc_id").alias("own"), "text").join(ids, F.col("own").eqNullSafe(F.col("doc_id"))).select("wanted", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Order = order.value
@@ -369,7 +383,7 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     return held.groupBy("block").applyInArrow(run, "a long, b long")
 
 
-def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame) -> DataFrame:
+def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
 
     A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
@@ -382,12 +396,9 @@ def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame) -> DataFram
     large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"), "weight"), "meeting")
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
-    member = member.join(mixed_ones, "meeting")
-    one, two = member.select("meeting", "weight", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("bits").alias("sa"), F.col("low").alias("la")), member.select("meeting", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("bits").alias("sb"), F.col("low").alias("lb"))
-    first_a, first_b = f"(na + floor(-{NUM} * na / {DEN}) + 1)", f"(nb + floor(-{NUM} * nb / {DEN}) + 1)"
-    part = f"least({first_a} - bit_count(sa & ~sb), {first_b} - bit_count(sb & ~sa)) >= {NEED} - greatest(na - {first_a}, nb - {first_b})"
-    maps = f"case when greatest(na, nb) <= {SMALL} then bit_count(sa ^ sb) <= na + nb - 2 * {NEED} when least(na, nb) > {SMALL} then {part} else true end"
-    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {maps}")
+    member = member.join(mixed_ones, "meeting").join(sketches, "digest")
+    one, two = (member.select("meeting", *([] if x == "b" else ["weight"]), F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
     met = met.groupBy("a", "na", "b", "nb").agg(F.sum("weight").alias("shared"), F.max(F.expr(f"least(na - pa, nb - pb) >= {NEED}")).alias("first"))
     done = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("shared").alias("small"), F.col("first").alias("done"))
     met = met.where("first").join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").na.fill(0, ["small"]).na.fill(False, ["done"])
@@ -402,11 +413,11 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     shards = 2 * shard_count(spark)
     order = spark.sparkContext.broadcast(frequent(docs, width))  # at most FREQUENT hashes
     first = stored(digested(docs, order, width, shards), "digests")
-    sets = first.where("kind = 0").select("doc_id", "digest", F.col("n").cast("long").alias("n"))
+    sets = first.where("kind = 0").select("doc_id", "digest", F.col("n").cast("long").alias("n"), *SIGNS)
     met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
     sets = stored(sets, "sets")
     discard(first)
-    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place", "bits"), "large")
+    large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place"), "large")
     pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
     discard(met)
     reps = sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -418,7 +429,8 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     chosen = stored(likely(pairs, large), "chosen")
     edges = checked(chosen)
     labels = components(edges)
-    more = stored(unsettled(large, labels, pairs), "more")
+    sketches = sets.where("digest is not null").groupBy("digest").agg(*[F.first(s).alias(s) for s in SIGNS])
+    more = stored(unsettled(large, labels, pairs, sketches), "more")
     discard(pairs, large, chosen)
     if not more.isEmpty():
         labels = components(edges.unionByName(checked(more)))
@@ -439,9 +451,10 @@ def one_of_each(docs: DataFrame, width: int = WORDS) -> DataFrame:
     A document without words is kept; so is a row without an id.  Of rows that repeat an id and a text one stays.
     """
     found = stored(groups(docs, width), "groups")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("weft_gone")).distinct()
+    safe, names = shielded(docs, ["weft_gone"])
+    kept = safe.join(gone, F.col("doc_id").cast("long") == F.col("weft_gone"), "left_anti")
     if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         alone = kept.where("doc_id is null")
         kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(alone)
-    return kept.select(*docs.columns)
+    return kept.select(*safe.columns).toDF(*names)
