@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, trim
 
 #: Matches of up to REMEMBERED_BYTES that each of the encoder's two generations remembers, and pairs that its memo holds: together
 #: less than 200 MB in a worker, while a task runs.
@@ -232,5 +232,6 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         own.forget()
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

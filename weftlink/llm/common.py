@@ -8,8 +8,10 @@ scanning bytes gives the same words as scanning code points.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
+import sys
 import tempfile
 import uuid
 import zlib
@@ -75,6 +77,13 @@ def discard(*tables: DataFrame) -> None:
     SparkSession.getActiveSession()._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give freed memory of a Python worker back to the system, since workers stay for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shard_count(spark: SparkSession) -> int:
     """Shards for exchanges made here: follows the session's shuffle partitions, which follow the input."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -10,8 +10,8 @@ reach the overlap that is asked for.
 
 Scale.  Equal sets are one set from the start, found by digest, so copies cost
 one entry per task, not pairs.  In a small meeting all pairs are candidates.  In
-a large one (more than ``MEETING`` sets) each set that has the n-gram among its first ``FORE`` meets the one of least
-digest, and after components are known only pairs that lie in different
+a large one (more than ``MEETING`` sets) each set first meets the one in which the fewest n-grams stand before, which is
+the original of near copies, since what an editor changed is rare and stands first; after components are known only pairs that lie in different
 components are looked at, so a group of near copies costs its size, and no link
 between components is lost.  Parity sketches of the whole sets, of ``64 * SKETCH`` bits, are held against each other there, so sets
 that share a passage and no more make no rows.  The candidates of one set are split into parts of
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED_WORD, U64, cut, discard, mixed, pack, passes, prepare, runs, shard_count, shielded, spans, stored, unpack, word_hashes
+from .common import LOWER, SPACED_WORD, U64, cut, discard, mixed, pack, passes, prepare, runs, shard_count, shielded, spans, stored, trim, unpack, word_hashes
 from .components import components
 
 WORDS = 5
@@ -40,8 +40,8 @@ WORDS = 5
 NUM, DEN = 75, 100
 #: Sets that meet at an n-gram before only links between components are sought; candidates in a part.
 MEETING, PART = 12, 256
-#: First n-grams of a set at which it meets the first set of a large meeting; 64-bit words of a sketch.
-FORE, SKETCH = 3, 8
+#: 64-bit words of a sketch.
+SKETCH = 8
 #: Frequent n-grams that the global order knows; the rest are ordered by hash.  It only decides the cost.
 FREQUENT = 1 << 18
 #: Ids that may be broadcast; beyond it they are joined by a shuffle.
@@ -164,7 +164,7 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
     meetings: sets, sizes, places and n-grams.
     """
-    order = np.lexsort((ids, keys))
+    order = np.lexsort((ids, places, keys))
     keys, ids, sizes, places = keys[order], ids[order], sizes[order], places[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
@@ -184,12 +184,13 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     a, b = np.concatenate(left), np.concatenate(right)
     big = np.flatnonzero(size > meeting)
     lead = np.repeat(at[:-1], n)[big]
-    other = (lead != big) & (places[big] < FORE)
+    other = lead != big
     small = np.concatenate([np.ones(len(a), dtype=np.int64), np.zeros(int(other.sum()), dtype=np.int64)])
     a, b = np.concatenate([a, lead[other]]), np.concatenate([b, big[other]])
     first = foremost(sizes[a], places[a], sizes[b], places[b])
     keep = (first | (small == 1)) & alike(sizes[a], maps[a], sizes[b], maps[b])
     a, b, small, first = a[keep], b[keep], small[keep], first[keep]
+    a, b = np.where(ids[a] < ids[b], a, b), np.where(ids[a] < ids[b], b, a)  # a pair has one form, wherever it meets
     return (ids[a], sizes[a], ids[b], sizes[b], small, first.astype(np.int64)), (ids[big], sizes[big], places[big], keys[big])
 
 
@@ -308,6 +309,7 @@ def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> Dat
         blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32), np.minimum(first[own], 255).astype(np.uint8)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
         out = [_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks)]
         out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32)))
+        trim()
         return pa.Table.from_batches(out)
 
     return entries.groupBy("shard").applyInArrow(run, MEET)
@@ -378,7 +380,10 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
             similar = PrefixTree([own[x] for x in names]).similar(query)
             left += [a] * len(similar)
             right += [names[i] for i in similar]
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        out = pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        del groups
+        trim()
+        return out
 
     return held.groupBy("block").applyInArrow(run, "a long, b long")
 
@@ -387,22 +392,20 @@ def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame, sketches: D
     """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
 
     A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
-    positional filter asks for that.  What a pair shares among its first n-grams is counted here and, of small meetings, there.
+    positional filter asks for that.
     """
     # Of meetings with the same members (the n-grams of one shared passage) the first in the order is enough: what a pair has
     # in common in any of them it has in that one, and earlier.
     who = large.groupBy("meeting").agg(F.count("*").alias("x1"), F.bit_xor(F.xxhash64("digest")).alias("x2"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 32)).alias("x3"))
-    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"), F.count("*").alias("weight"))
-    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"), "weight"), "meeting")
+    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"))
+    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting")), "meeting")
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
     member = member.join(mixed_ones, "meeting").join(sketches, "digest")
-    one, two = (member.select("meeting", *([] if x == "b" else ["weight"]), F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
-    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
-    met = met.groupBy("a", "na", "b", "nb").agg(F.sum("weight").alias("shared"), F.max(F.expr(f"least(na - pa, nb - pb) >= {NEED}")).alias("first"))
-    done = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("shared").alias("small"), F.col("first").alias("done"))
-    met = met.where("first").join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").na.fill(0, ["small"]).na.fill(False, ["done"])
-    return met.where(f"not done and shared + small + {BEHIND} >= {NEED}").select("a", "b")
+    one, two = (member.select("meeting", F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
+    done = pairs.where("first").select(F.col("a").alias("x"), F.col("b").alias("y"))
+    return met.select("a", "b").distinct().join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
 
 def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
