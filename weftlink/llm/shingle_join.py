@@ -40,8 +40,8 @@ WORDS = 5
 NUM, DEN = 75, 100
 #: Sets that meet at an n-gram before only links between components are sought; candidates in a part.
 MEETING, PART = 12, 256
-#: 64-bit words of a sketch.
-SKETCH = 8
+#: In a large meeting at one n-gram in LEADING all sets meet its first set; 64-bit words of a sketch.
+LEADING, SKETCH = 4, 8
 #: Frequent n-grams that the global order knows; the rest are ordered by hash.  It only decides the cost.
 FREQUENT = 1 << 18
 #: Ids that may be broadcast; beyond it they are joined by a shuffle.
@@ -184,7 +184,7 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
     a, b = np.concatenate(left), np.concatenate(right)
     big = np.flatnonzero(size > meeting)
     lead = np.repeat(at[:-1], n)[big]
-    other = lead != big
+    other = (lead != big) & (mixed(keys[big]) % U64(LEADING) == 0)
     small = np.concatenate([np.ones(len(a), dtype=np.int64), np.zeros(int(other.sum()), dtype=np.int64)])
     a, b = np.concatenate([a, lead[other]]), np.concatenate([b, big[other]])
     first = foremost(sizes[a], places[a], sizes[b], places[b])
@@ -327,18 +327,19 @@ def candidate_pairs(packed: DataFrame) -> DataFrame:
     return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long, first boolean")
 
 
-#: Least overlap, and the n-grams behind the first ones, in SQL.
-NEED = f"ceil({NUM} * (na + nb) / {NUM + DEN})"
-BEHIND = f"greatest(ceil({NUM} * na / {DEN}), ceil({NUM} * nb / {DEN})) - 1"
+#: Least overlap in SQL.
+NEED = f"(({NUM} * (na + nb) + {NUM + DEN - 1}) div {NUM + DEN})"
 
 
-def likely(pairs: DataFrame, large: DataFrame) -> DataFrame:
-    """The pairs that can still reach the overlap: what they share among their first n-grams is known in small meetings,
-    and at most all of the large meetings of either; the rest of the larger set may be shared."""
-    crowd = large.groupBy("digest").agg(F.count("*").alias("crowd"))
-    one, two = crowd.select(F.col("digest").alias("a"), F.col("crowd").alias("ca")), crowd.select(F.col("digest").alias("b"), F.col("crowd").alias("cb"))
-    rows = pairs.where("first").join(one, "a", "left").join(two, "b", "left").na.fill(0, ["ca", "cb"])
-    return rows.where(f"shared + least(ca, cb) + {BEHIND} >= {NEED}").select("a", "b")
+def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs a, b whose sketches allow the overlap: all of small meetings, and of those with the first set of a large meeting
+    the closest for either set, since one link settles a set's component; what that leaves is for unsettled()."""
+    one, two = (sketches.select(F.col("digest").alias(x), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    near = pairs.where("first").join(one, "a").join(two, "b").withColumn("apart", F.expr(SKETCHED)).where(f"apart <= na + nb - 2 * {NEED}")
+    near = stored(near.select("a", "b", "shared", "apart"), "near")
+    led = near.where("shared = 0")
+    closest = [led.groupBy(x).agg(F.min(F.struct("apart", y)).alias("best")).select(x, f"best.{y}").select("a", "b") for x, y in ("ab", "ba")]
+    return near.where("shared > 0").select("a", "b").unionByName(closest[0]).unionByName(closest[1]).distinct()
 
 
 def sets_of(docs: DataFrame, sets: DataFrame, order, width: int) -> DataFrame:
@@ -388,8 +389,8 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     return held.groupBy("block").applyInArrow(run, "a long, b long")
 
 
-def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of sets that share large meetings, lie in different components and can still reach the overlap.
+def unsettled(large: DataFrame, labels: DataFrame, done: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of sets that share large meetings, lie in different components, can still reach the overlap and are not ``done``.
 
     A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
     positional filter asks for that.
@@ -404,7 +405,7 @@ def unsettled(large: DataFrame, labels: DataFrame, pairs: DataFrame, sketches: D
     member = member.join(mixed_ones, "meeting").join(sketches, "digest")
     one, two = (member.select("meeting", F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
     met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
-    done = pairs.where("first").select(F.col("a").alias("x"), F.col("b").alias("y"))
+    done = done.select(F.col("a").alias("x"), F.col("b").alias("y"))
     return met.select("a", "b").distinct().join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
 
@@ -429,12 +430,13 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
         needed = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
         return stored(verified(pairs, sets_of(docs, reps.join(needed, "digest"), order, width), shards), "edges")
 
-    chosen = stored(likely(pairs, large), "chosen")
+    sketches = stored(sets.where("digest is not null").groupBy("digest").agg(*[F.first(s).alias(s) for s in SIGNS]), "sketches")
+    chosen = stored(likely(pairs, sketches), "chosen")
+    discard(pairs)
     edges = checked(chosen)
     labels = components(edges)
-    sketches = sets.where("digest is not null").groupBy("digest").agg(*[F.first(s).alias(s) for s in SIGNS])
-    more = stored(unsettled(large, labels, pairs, sketches), "more")
-    discard(pairs, large, chosen)
+    more = stored(unsettled(large, labels, chosen, sketches), "more")
+    discard(large, chosen, sketches)
     if not more.isEmpty():
         labels = components(edges.unionByName(checked(more)))
     discard(more, edges)
