@@ -10,8 +10,8 @@ reach the overlap that is asked for.
 
 Scale.  Equal sets are one set from the start, found by digest, so copies cost
 one entry per task, not pairs.  In a small meeting all pairs are candidates.  In
-a large one (more than ``MEETING`` sets) each set first meets the one in which the fewest n-grams stand before, which is
-the original of near copies, since what an editor changed is rare and stands first; after components are known only pairs that lie in different
+a large one (more than ``MEETING`` sets) each set first meets, of the sets of about its size, the one with the least share of rare
+n-grams, which is the original of near copies, since what an editor changed is rare; after components are known only pairs that lie in different
 components are looked at, so a group of near copies costs its size, and no link
 between components is lost.  Parity sketches of the whole sets, of ``64 * SKETCH`` bits, are held against each other there, so sets
 that share a passage and no more make no rows.  The candidates of one set are split into parts of
@@ -41,9 +41,9 @@ NUM, DEN = 75, 100
 #: Sets that meet at an n-gram before only links between components are sought; candidates in a part.
 MEETING, PART = 12, 256
 #: In a large meeting at one n-gram in LEADING all sets meet its first set; 64-bit words of a sketch.
-LEADING, SKETCH = 4, 8
+LEADING, SKETCH = 4, 16
 #: Frequent n-grams that the global order knows; the rest are ordered by hash.  It only decides the cost.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: Ids that may be broadcast; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -158,17 +158,18 @@ class PrefixTree:
         return out
 
 
-def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
-    """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set, bitmap).
+def pairs_of_meetings(keys, ids, sizes, places, maps, own, meeting):
+    """Candidate pairs and large meetings of entries (n-gram, set, size, place of the n-gram in the set, bitmap, share of rare n-grams).
 
     Gives arrays a, size of a, b, size of b of the pairs and whether each is of a small meeting, and the members of the large
     meetings: sets, sizes, places and n-grams.
     """
-    order = np.lexsort((ids, places, keys))
-    keys, ids, sizes, places = keys[order], ids[order], sizes[order], places[order]
+    band = np.floor(np.log(np.maximum(sizes, 1)) / np.log(1.25)).astype(np.int64)
+    order = np.lexsort((ids, own, band, keys))
+    keys, ids, sizes, places, band = keys[order], ids[order], sizes[order], places[order], band[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-    keys, ids, sizes, places, maps = keys[fresh], ids[fresh], sizes[fresh], places[fresh], maps[order][fresh]
+    keys, ids, sizes, places, maps, band = keys[fresh], ids[fresh], sizes[fresh], places[fresh], maps[order][fresh], band[fresh]
     at = runs(keys)
     n = np.diff(at)
     size = np.repeat(n, n)  # of the meeting of each entry
@@ -183,7 +184,9 @@ def pairs_of_meetings(keys, ids, sizes, places, maps, meeting):
         right.append(b[keep])
     a, b = np.concatenate(left), np.concatenate(right)
     big = np.flatnonzero(size > meeting)
-    lead = np.repeat(at[:-1], n)[big]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (band[1:] != band[:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1][big]  # the first set of its size in the meeting
     other = (lead != big) & (mixed(keys[big]) % U64(LEADING) == 0)
     small = np.concatenate([np.ones(len(a), dtype=np.int64), np.zeros(int(other.sum()), dtype=np.int64)])
     a, b = np.concatenate([a, lead[other]]), np.concatenate([b, big[other]])
@@ -257,7 +260,7 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Order = order.value
         for batch in batches:
-            digests, sizes, sketches, firsts, maps, seen = [], [], [], [], [], {}
+            digests, sizes, sketches, firsts, maps, rare, seen = [], [], [], [], [], [], {}
             for grams in shingles(batch.column(1), width):
                 d = digest(grams) if len(grams) else None
                 digests.append(d)
@@ -268,6 +271,7 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
                     keys = known.keys(grams)
                     firsts.append(keys[: prefix_length(len(keys))])
                     maps.append(bitmap(keys))
+                    rare.append(65535 * np.searchsorted(keys, U64(1 << 63)) // len(keys))
             words = np.stack(sketches, axis=1) if sketches else np.zeros((SKETCH, 0), np.int64)
             yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes, **dict(zip(SIGNS, words, strict=True)))
             if not firsts:
@@ -278,13 +282,13 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
             to = cut(mixed(keys), shards)
             rank = np.lexsort((keys, to))
             bounds = np.searchsorted(to[rank], np.arange(shards + 1))
-            ids, size, bits = np.array([k[0] for k in seen], dtype=np.int64), np.array([k[1] for k in seen], dtype=np.int32), np.array(maps, dtype=U64)
+            ids, size, bits, own_rare = np.array([k[0] for k in seen], dtype=np.int64), np.array([k[1] for k in seen], dtype=np.int32), np.array(maps, dtype=U64), np.array(rare, dtype=np.uint16)
             held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
             blocks = []
             for s in held:
                 own = rank[bounds[s] : bounds[s + 1]]
                 sets, local = np.unique(of[own], return_inverse=True)
-                blocks.append(pack(keys[own], local.astype(np.uint16), place[own].astype(np.uint32), ids[sets], size[sets], bits[sets]))
+                blocks.append(pack(keys[own], local.astype(np.uint16), place[own].astype(np.uint32), ids[sets], size[sets], bits[sets], own_rare[sets]))
             yield _batch(ENTRY, len(held), kind=[1] * len(held), shard=held, block=blocks)
 
     return docs.select("doc_id", "text").mapInArrow(run, ENTRY)
@@ -298,8 +302,8 @@ def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> Dat
     def run(table: pa.Table) -> pa.Table:
         parts = []
         for block in table.column("block"):
-            keys, local, place, ids, size, bits = unpack(block.as_py())
-            parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local]))
+            keys, local, place, ids, size, bits, rare = unpack(block.as_py())
+            parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local], rare[local]))
         pairs, (ids, sizes, places, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)), meeting)
         a, sa, b, sb, shared, first = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
@@ -327,15 +331,21 @@ def candidate_pairs(packed: DataFrame) -> DataFrame:
     return packed.groupBy("shard").applyInArrow(run, "a long, na int, b long, nb int, shared long, first boolean")
 
 
-#: Least overlap in SQL.
+#: Least overlap, and the n-grams behind the first ones, in SQL.
 NEED = f"(({NUM} * (na + nb) + {NUM + DEN - 1}) div {NUM + DEN})"
+BEHIND = f"(({NUM} * greatest(na, nb) + {DEN - 1}) div {DEN} - 1)"
 
 
-def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs a, b whose sketches allow the overlap: all of small meetings, and of those with the first set of a large meeting
-    the closest for either set, since one link settles a set's component; what that leaves is for unsettled()."""
-    one, two = (sketches.select(F.col("digest").alias(x), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
-    near = pairs.where("first").join(one, "a").join(two, "b").withColumn("apart", F.expr(SKETCHED)).where(f"apart <= na + nb - 2 * {NEED}")
+def likely(pairs: DataFrame, sketches: DataFrame, large: DataFrame) -> DataFrame:
+    """The pairs a, b that can still reach the overlap: all of small meetings, and of those with the first set of a large meeting
+    the closest for either set, since one link settles a set's component; what that leaves is for unsettled().
+
+    Sketches must allow the overlap; and what a pair shares among its first n-grams is known in small meetings, and is at most
+    all of the large meetings of either, while the rest of the larger set may be shared.
+    """
+    known = sketches.join(large.groupBy(F.col("digest").alias("d")).agg(F.count("*").alias("crowd")), F.col("digest") == F.col("d"), "left").na.fill(0, ["crowd"])
+    one, two = (known.select(F.col("digest").alias(x), F.col("crowd").alias(f"c{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    near = pairs.where("first").join(one, "a").join(two, "b").withColumn("apart", F.expr(SKETCHED)).where(f"apart <= na + nb - 2 * {NEED} and shared + least(ca, cb) + {BEHIND} >= {NEED}")
     near = stored(near.select("a", "b", "shared", "apart"), "near")
     led = near.where("shared = 0")
     closest = [led.groupBy(x).agg(F.min(F.struct("apart", y)).alias("best")).select(x, f"best.{y}").select("a", "b") for x, y in ("ab", "ba")]
@@ -389,24 +399,27 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     return held.groupBy("block").applyInArrow(run, "a long, b long")
 
 
-def unsettled(large: DataFrame, labels: DataFrame, done: DataFrame, sketches: DataFrame) -> DataFrame:
+def unsettled(large: DataFrame, labels: DataFrame, done: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs of sets that share large meetings, lie in different components, can still reach the overlap and are not ``done``.
 
     A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
-    positional filter asks for that.
+    positional filter asks for that.  What a pair shares among its first n-grams is counted here and, of small meetings, in ``pairs``.
     """
     # Of meetings with the same members (the n-grams of one shared passage) the first in the order is enough: what a pair has
     # in common in any of them it has in that one, and earlier.
     who = large.groupBy("meeting").agg(F.count("*").alias("x1"), F.bit_xor(F.xxhash64("digest")).alias("x2"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 32)).alias("x3"))
-    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"))
-    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting")), "meeting")
+    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"), F.count("*").alias("weight"))
+    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"), "weight"), "meeting")
     member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
     member = member.join(mixed_ones, "meeting").join(sketches, "digest")
-    one, two = (member.select("meeting", F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
-    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
+    one, two = (member.select("meeting", *(["weight"] if x == "a" else []), F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
+    met = met.groupBy("a", "na", "b", "nb").agg(F.sum("weight").alias("many"), F.max(F.expr(f"least(na - pa, nb - pb) >= {NEED}")).alias("can")).where("can")
+    small = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared")
+    met = met.join(small, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").where(f"many + coalesce(shared, 0) + {BEHIND} >= {NEED}")
     done = done.select(F.col("a").alias("x"), F.col("b").alias("y"))
-    return met.select("a", "b").distinct().join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
+    return met.select("a", "b").join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
 
 def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -431,12 +444,11 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
         return stored(verified(pairs, sets_of(docs, reps.join(needed, "digest"), order, width), shards), "edges")
 
     sketches = stored(sets.where("digest is not null").groupBy("digest").agg(*[F.first(s).alias(s) for s in SIGNS]), "sketches")
-    chosen = stored(likely(pairs, sketches), "chosen")
-    discard(pairs)
+    chosen = stored(likely(pairs, sketches, large), "chosen")
     edges = checked(chosen)
     labels = components(edges)
-    more = stored(unsettled(large, labels, chosen, sketches), "more")
-    discard(large, chosen, sketches)
+    more = stored(unsettled(large, labels, chosen, pairs, sketches), "more")
+    discard(large, chosen, sketches, pairs)
     if not more.isEmpty():
         labels = components(edges.unionByName(checked(more)))
     discard(more, edges)
