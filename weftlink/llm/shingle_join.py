@@ -41,7 +41,7 @@ NUM, DEN = 75, 100
 #: Sets that meet at an n-gram before only links between components are sought; candidates in a part.
 MEETING, PART = 12, 256
 #: In a large meeting at one n-gram in LEADING all sets meet its first set; 64-bit words of a sketch.
-LEADING, SKETCH = 4, 16
+LEADING, SKETCH = 2, 16
 #: Frequent n-grams that the global order knows; the rest are ordered by hash.  It only decides the cost.
 FREQUENT = 1 << 20
 #: Ids that may be broadcast; beyond it they are joined by a shuffle.
@@ -403,21 +403,21 @@ def unsettled(large: DataFrame, labels: DataFrame, done: DataFrame, pairs: DataF
     """Pairs of sets that share large meetings, lie in different components, can still reach the overlap and are not ``done``.
 
     A similar pair whose first common n-gram is one of a small meeting is done already.  Else it is one of these, and the
-    positional filter asks for that.  What a pair shares among its first n-grams is counted here and, of small meetings, in ``pairs``.
+    positional filter asks for that.  What a pair shares among its first n-grams is known of small meetings, from ``pairs``, and
+    is at most all of the large ones of either.
     """
     # Of meetings with the same members (the n-grams of one shared passage) the first in the order is enough: what a pair has
     # in common in any of them it has in that one, and earlier.
     who = large.groupBy("meeting").agg(F.count("*").alias("x1"), F.bit_xor(F.xxhash64("digest")).alias("x2"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 32)).alias("x3"))
-    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m"), F.count("*").alias("weight"))
-    large = large.join(first.select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"), "weight"), "meeting")
-    member = large.join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
+    first = who.groupBy("x1", "x2", "x3").agg(F.min(F.col("meeting").bitwiseXOR(F.lit(-(1 << 63)))).alias("m")).select(F.col("m").bitwiseXOR(F.lit(-(1 << 63))).alias("meeting"))
+    crowd = large.groupBy("digest").agg(F.count("*").alias("c"))
+    member = large.join(first, "meeting").join(labels.select(F.col("v").alias("digest"), "low"), "digest", "left").withColumn("low", F.coalesce("low", "digest"))
     mixed_ones = member.groupBy("meeting").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("meeting")
-    member = member.join(mixed_ones, "meeting").join(sketches, "digest")
-    one, two = (member.select("meeting", *(["weight"] if x == "a" else []), F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
-    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(pa, pb) + least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}")
-    met = met.groupBy("a", "na", "b", "nb").agg(F.sum("weight").alias("many"), F.max(F.expr(f"least(na - pa, nb - pb) >= {NEED}")).alias("can")).where("can")
+    member = member.join(mixed_ones, "meeting").join(sketches, "digest").join(crowd, "digest")
+    one, two = (member.select("meeting", F.col("digest").alias(x), F.col("low").alias(f"l{x}"), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"), F.col("c").alias(f"c{x}"), *[F.col(s).alias(f"{s}{x}") for s in SIGNS]) for x in "ab")
+    met = one.join(two, "meeting").where("a < b and la <> lb").where(f"least(na - pa, nb - pb) >= {NEED} and {SKETCHED} <= na + nb - 2 * {NEED}").select("a", "na", "ca", "b", "nb", "cb").distinct()
     small = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared")
-    met = met.join(small, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").where(f"many + coalesce(shared, 0) + {BEHIND} >= {NEED}")
+    met = met.join(small, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").where(f"least(ca, cb) + coalesce(shared, 0) + {BEHIND} >= {NEED}")
     done = done.select(F.col("a").alias("x"), F.col("b").alias("y"))
     return met.select("a", "b").join(done, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
