@@ -39,7 +39,7 @@ COMMON = 256
 #: Sets of up to so many words have bitmaps of 64 and 128 bits, larger ones of 256.
 SMALL, MIDDLE = 48, 112
 #: Entries of a line by which it meets the earliest line that has them; slices of the join.
-FORE, ROUNDS = 3, 4
+FORE, ROUNDS = 2, 4
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
 BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
 _REGEX = r"[\\x20\\x09-\\x0D]+"
@@ -126,12 +126,13 @@ ALIKE = f"bit_count({_BITS[0]}) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL}
 
 def led(sets: DataFrame) -> DataFrame:
     """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
-    columns = ["doc_id", "line", "id", "n", *SIGNS]
-    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "id", "n", *SIGNS, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
-    lead = fore.groupBy("key").agg(F.min(F.struct(*columns)).alias("x"), F.count("*").alias("times")).where("times > 1")
-    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("id", "n", *SIGNS)])
-    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", *SIGNS)])
-    return lead.join(rows, F.expr(f"k = key and ida <> idb and {FITS} and {ALIKE}")).selectExpr("ida as a", "idb as b").distinct()
+    folded = [F.expr("s1 ^ s3").alias("s1"), F.expr("s2 ^ s4").alias("s2")]  # half the bitmap will do here
+    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "id", "n", *folded, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
+    lead = fore.groupBy("key").agg(F.min(F.struct("doc_id", "line", "id", "n", "s1", "s2")).alias("x"), F.count("*").alias("times")).where("times > 1")
+    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("id", "n", "s1", "s2")])
+    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", "s1", "s2")])
+    alike = f"bit_count(s1a ^ s1b ^ s2a ^ s2b) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL} or bit_count(s1a ^ s1b) + bit_count(s2a ^ s2b) <= {_SPARE})"
+    return lead.join(rows, F.expr(f"k = key and ida <> idb and {FITS} and {alike}")).selectExpr("ida as a", "idb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
@@ -158,9 +159,10 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     whole = rows.select("id", "first", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["id"])
     whole = stored(whole, "whole")
     one, two = (whole.select(F.col("id").alias(x), F.col("w").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    discard(places)
     found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select(F.expr("if(fa < fb, b, a)").alias("late")).distinct()
     found = stored(found, "similar")
-    discard(places, whole)
+    discard(whole)
     return found
 
 
@@ -170,10 +172,12 @@ def removals(docs: DataFrame) -> DataFrame:
     table = stored(line_table(docs), "lines")
     place = F.struct("doc_id", "th", "line")
     sets = table.where("n > 0").groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
+    discard()
     sets = stored(sets.select(F.monotonically_increasing_id().alias("id"), "sid", "first", "n", "x.*"), "sets")  # stored, so that the ids stay
     lines = stored(table.select("doc_id", "th", "line", F.when(F.col("n") > 0, F.col("sid")).alias("sid")), "places")
     discard(table)
     pairs = stored(led(sets), "led")
+    discard()
     late = similar(docs, sets, pairs)
     discard(pairs)
     found = []
