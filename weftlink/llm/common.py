@@ -73,8 +73,10 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._weftlink_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    spark = SparkSession.getActiveSession()
+    spark.range(1).collect()  # Spark holds the plan, and so the shuffles, of the last query until the next one
     gc.collect()
-    SparkSession.getActiveSession()._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def trim() -> None:

@@ -39,7 +39,7 @@ COMMON = 256
 #: Sets of up to so many words have bitmaps of 64 and 128 bits, larger ones of 256.
 SMALL, MIDDLE = 48, 112
 #: Entries of a line by which it meets the earliest line that has them; slices of the join.
-FORE, ROUNDS = 2, 4
+FORE, ROUNDS = 2, 6
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
 BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
 _REGEX = r"[\\x20\\x09-\\x0D]+"
