@@ -140,7 +140,7 @@ def test_prefix_tree():
     assert sorted(shingle_join.PrefixTree(sets).similar(base)) == wanted and 0 < len(wanted) < 80
 
 
-@pytest.mark.parametrize("common", [256, 6])
+@pytest.mark.parametrize("common", [1024, 6])
 def test_line_dedup(docs, none, common, monkeypatch):
     monkeypatch.setattr(line_dedup, "COMMON", common)
     earlier, gone, held = [], {}, {}
@@ -156,7 +156,7 @@ def test_line_dedup(docs, none, common, monkeypatch):
     got = by_id(line_dedup.report(docs))
     for i in gone:
         assert (got[i].n_lines, got[i].removed_lines) == (held[i], ",".join(map(str, gone[i])))
-    if common == 256:
+    if common == 1024:
         odd = docs.withColumnsRenamed({"score": "weft_d", "shingles": "weft_r"})
         clean = line_dedup.cleaned(odd)
         assert clean.columns == odd.columns

@@ -14,9 +14,9 @@ So no meeting at a single word grows beyond the lines that ``COMMON`` allows, an
 Of the sets that meet, pairs are kept whose sizes fit (length filter), whose places allow the overlap (positional
 filter) and whose parity bitmaps differ in no more bits than words may; these are verified on the whole sets.
 
-Scale.  Equal sets enter once.  A group of near copies is collapsed first: lines that share one of their
+Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share one of their
 first ``FORE`` entries are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
-then seeks pairs with another line only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
+then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
 Only numbers are shuffled, texts are not, except to verify more lines than ``BROADCAST_LINES`` or ``BROADCAST_DOCS`` allow.
 
 Defined cases: a null or empty text, and a line without words, keep what they have; sets of one or
@@ -35,7 +35,7 @@ from .common import discard, shielded, stored
 #: Cells that words are counted in.
 CELLS = 1 << 18
 #: Occurrences from which a word is common: lines meet at pairs of such words.
-COMMON = 256
+COMMON = 1024
 #: Sets of up to so many words have bitmaps of 64 and 128 bits, larger ones of 256.
 SMALL, MIDDLE = 48, 112
 #: Entries of a line by which it meets the earliest line that has them; slices of the join.
@@ -127,40 +127,42 @@ ALIKE = f"bit_count({_BITS[0]}) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL}
 def led(sets: DataFrame) -> DataFrame:
     """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
     folded = [F.expr("s1 ^ s3").alias("s1"), F.expr("s2 ^ s4").alias("s2")]  # half the bitmap will do here
-    fore = sets.where("n >= 3").select("first.doc_id", "first.line", "id", "n", *folded, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
-    lead = fore.groupBy("key").agg(F.min(F.struct("doc_id", "line", "id", "n", "s1", "s2")).alias("x"), F.count("*").alias("times")).where("times > 1")
+    fore = sets.where("n >= 3").select("id", "n", *folded, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
+    lead = fore.groupBy("key").agg(F.min(F.struct("id", "n", "s1", "s2")).alias("x"), F.count("*").alias("times")).where("times > 1")
     lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("id", "n", "s1", "s2")])
     rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", "s1", "s2")])
     alike = f"bit_count(s1a ^ s1b ^ s2a ^ s2b) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL} or bit_count(s1a ^ s1b) + bit_count(s2a ^ s2b) <= {_SPARE})"
-    return lead.join(rows, F.expr(f"k = key and ida <> idb and {FITS} and {alike}")).selectExpr("ida as a", "idb as b").distinct()
+    return lead.join(rows, F.expr(f"k = key and ida < idb and {FITS} and {alike}")).selectExpr("ida as a", "idb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
-    """Pairs a, b of sets that meet in slice k, one of them not covered."""
-    # Both sides have the same columns, and all conditions belong to both, so that one exchange serves both.  The last bit of n
-    # tells what is not covered.
-    own = sets.where("n >= 3").join(covered.select(F.col("late").alias("id"), F.lit(1).alias("done")), "id", "left")
-    entries = own.select("id", F.expr("2 * n + if(done is null, 1, 0)").alias("m"), *SIGNS, F.explode("keys").alias("e")).where(f"pmod(shiftright(e, 21), {rounds}) = {k}")
-    entries = entries.select(F.expr("shiftright(e, 20)").alias("key"), F.expr(f"cast(e & {_PLACE} as int)").alias("p"), "id", "m", *SIGNS)
-    one, two = (entries.select(*[F.col(c).alias(f"{c}{x}") for c in ("key", "p", "id", "m", *SIGNS)]) for x in "ab")
-    fits = f"keya = keyb and ida < idb and {FITS} and ((ma | mb) & 1) = 1 and {PLACED} and {ALIKE}".replace("paired", "keya & 1 = 1")
-    return one.join(two, F.expr(fits.replace("na", "shiftright(ma, 1)").replace("nb", "shiftright(mb, 1)"))).selectExpr("ida as a", "idb as b").distinct()
+    """Pairs a, b of sets that meet in slice k, a before b, b not covered."""
+    every = sets.where("n >= 3")
+    sides = {"a": every, "b": every.join(covered.select(F.col("late").alias("id")), "id", "left_anti")}
+
+    def entries(x: str) -> DataFrame:
+        rows = sides[x].select("id", "n", *SIGNS, F.explode("keys").alias("e")).where(f"pmod(shiftright(e, 21), {rounds}) = {k}")
+        rows = rows.select(F.expr("shiftright(e, 20)").alias("key"), F.expr(f"cast(e & {_PLACE} as int)").alias("p"), "id", "n", *SIGNS)
+        return rows.select(*[F.col(c).alias(f"{c}{x}") for c in rows.columns])
+
+    fits = f"keya = keyb and ida < idb and {FITS} and {PLACED} and {ALIKE}".replace("paired", "keya & 1 = 1")
+    return entries("a").join(entries("b"), F.expr(fits)).selectExpr("ida as a", "idb as b").distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """late: the later set of each pair whose whole sets reach the threshold."""
+    """late: b of the pairs a, b whose whole sets reach the threshold."""
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    places = sets.select("id", "first").join(needed, "id").groupBy("first.doc_id", "first.th").agg(F.collect_list(F.struct("id", "first")).alias("own"))
+    places = sets.select("id", "first.*").join(needed, "id").groupBy("doc_id", "th").agg(F.collect_list(F.struct("id", "line")).alias("own"))
     places = stored(places.toDF("d", "t", "own"), "places")
     size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("own")), F.lit(0)).alias("lines")).first()
     wanted = F.broadcast(places) if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES else places
     rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select(F.expr(RARE).alias("rare"), F.split("text", "\n", -1).alias("lines"), F.explode("own").alias("x"))
-    rows = rows.select("rare", "x.id", "x.first", F.expr("get(lines, x.first.line)").alias("line"))
-    whole = rows.select("id", "first", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["id"])
+    rows = rows.select("rare", "x.id", F.expr("get(lines, x.line)").alias("line"))
+    whole = rows.select("id", F.expr(f"array_distinct(transform({words('line')}, x -> xxhash64(x)))").alias("w")).dropDuplicates(["id"])
     whole = stored(whole, "whole")
-    one, two = (whole.select(F.col("id").alias(x), F.col("w").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+    one, two = (whole.select(F.col("id").alias(x), F.col("w").alias(f"w{x}")) for x in "ab")
     discard(places)
-    found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select(F.expr("if(fa < fb, b, a)").alias("late")).distinct()
+    found = pairs.join(one, "a").join(two, "b").where("7 * size(array_intersect(wa, wb)) >= 3 * (size(wa) + size(wb))").select(F.col("b").alias("late")).distinct()
     found = stored(found, "similar")
     discard(whole)
     return found
@@ -173,7 +175,8 @@ def removals(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "th", "line")
     sets = table.where("n > 0").groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
     discard()
-    sets = stored(sets.select(F.monotonically_increasing_id().alias("id"), "sid", "first", "n", "x.*"), "sets")  # stored, so that the ids stay
+    # Numbered in document order, and stored, so that the numbers stay.
+    sets = stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "sid", "first", "n", "x.*"), "sets")
     lines = stored(table.select("doc_id", "th", "line", F.when(F.col("n") > 0, F.col("sid")).alias("sid")), "places")
     discard(table)
     pairs = stored(led(sets), "led")
