@@ -89,8 +89,8 @@ def joined(x: str, by: str = "|") -> str:
     return f"array_to_string({x}, '{by}')"
 
 
-RECORDS = """records AS MATERIALIZED (SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id, left(split_part(text, chr(10), 1), 60) AS business_name,
-  right(text, 80) AS business_address, lang AS country, 'S' || (1 + doc_id % 3) AS src, CASE WHEN doc_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM documents)"""
+RECORDS = """records AS MATERIALIZED (SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id, split_part(text, chr(10), 1) AS business_name,
+  array_to_string(string_split(text, chr(10))[2:], chr(10)) AS business_address, lang AS country, 'S' || (1 + doc_id % 3) AS src, CASE WHEN doc_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM documents)"""
 TRUTH = """truth AS MATERIALIZED (SELECT 'S1-' || a.doc_id AS source1_entity_id, 'S' || (1 + b.doc_id % 3) || '-' || b.doc_id AS match_id
   FROM documents a JOIN documents b ON a.text = b.text WHERE a.doc_id % 3 = 0 AND b.doc_id % 3 <> 0)"""
 _DUP = rf"""coalesce(CASE WHEN regexp_matches(w, '^{W}') THEN i > 2 AND regexp_matches(p[i - 1], '^\s+$') AND lower(p[i - 2]) = lower(w)

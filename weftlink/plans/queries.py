@@ -100,7 +100,7 @@ def _marked() -> Column:
     return F.when(F.crc32("entity_id") % 2 < 2, F.concat(F.left("x", F.lit(8)), F.lit(" (ID: k-7) "), F.substring("x", 9, 2**31 - 1), F.lit(" [Co]")))
 
 
-_MARKED = "left(business_name, 8) || ' (ID: k-7) ' || substring(business_name, 9, 60) || ' [Co]'"
+_MARKED = "left(business_name, 8) || ' (ID: k-7) ' || substring(business_name, 9) || ' [Co]'"
 
 
 @query(O.sql(R, f"SELECT entity_id, {O.marker(_MARKED)} AS marker, {O.no_marker(_MARKED)} AS rest FROM records"))
@@ -118,7 +118,7 @@ def domain_phone(spark, sf_dir):
     return pages.select("page_id", x.alias("x")).select("page_id", X.domain_core(F.col("x")).alias("core"), yes(X.is_domain_like(F.col("x"))).alias("is_domain"), yes(X.has_trailing_phone(F.col("x"))).alias("has_phone"))
 
 
-_AKA = "left(business_name, 20) || ' d/b/a ' || substring(business_name, 21, 15) || ', formerly ' || country"
+_AKA = "left(business_name, 20) || ' d/b/a ' || substring(business_name, 21) || ', formerly ' || country"
 
 
 @query(O.sql(R, f"SELECT entity_id, array_to_string(p, '|') AS parts, len(p) AS n FROM (SELECT entity_id, {O.alias('x')} AS p FROM (SELECT entity_id, {_AKA} AS x FROM records))"))
@@ -363,7 +363,7 @@ def pair_features_builtin(spark, sf_dir):
     return rows.select("source1_entity_id", "candidate_entity_id", F.col("label").cast("int").alias("label"), *[F.round(c, 6).alias(c) for c in held])
 
 
-@query(f"SELECT k, round({_SUFFIX}, 6) AS overlap FROM (SELECT c.c_custkey AS k, [c.c_custkey::VARCHAR, c.c_nationkey::VARCHAR] AS a, [s.s_suppkey::VARCHAR, right(c.c_custkey::VARCHAR, 2), '7'] AS b FROM customer c JOIN supplier s ON s.s_suppkey = 1 + c.c_custkey % 10)")
+@query(f"SELECT k, round({_SUFFIX}, 6) AS overlap FROM (SELECT c.c_custkey AS k, [c.c_custkey::VARCHAR, c.c_nationkey::VARCHAR] AS a, [s.s_suppkey::VARCHAR, right(c.c_custkey::VARCHAR, 2), '7'] AS b FROM customer c JOIN supplier s ON s.s_suppkey = (SELECT min(s_suppkey) FROM supplier) + c.c_custkey % (SELECT count(*) FROM supplier))")
 def numeric_suffix_overlap(spark, sf_dir):
     c, s = spark.read.parquet(f"{sf_dir}/customer.parquet"), spark.read.parquet(f"{sf_dir}/supplier.parquet")
     first, n = s.agg(F.min("s_suppkey"), F.count("*")).first()  # every supplier has its turn
@@ -542,7 +542,7 @@ def group_samples(spark, sf_dir):
 
 # Validation ---------------------------------------------------------------------------------------------
 
-_RESULTS = """res AS MATERIALIZED (SELECT o_orderkey AS line, 'S1-' || (o_custkey % 1200) AS s1, CASE WHEN o_orderkey % 50 = 0 THEN ['S2-1', 'S2-1'] WHEN o_orderkey % 51 = 0 THEN ['S1-3'] WHEN o_orderkey % 53 = 0 THEN ['X9', 'S3-99999'] ELSE ['S2-' || (o_custkey % 90 + 1), 'S3-7'] END AS ids, o_orderkey % 97 <> 0 AS has_tab FROM orders WHERE o_orderkey % 9 = 0),
+_RESULTS = """res AS MATERIALIZED (SELECT o_orderkey AS line, 'S1-' || (o_custkey % 1200) AS s1, CASE WHEN o_orderkey % 50 = 0 THEN ['S2-1', 'S2-1'] WHEN o_orderkey % 51 = 0 THEN ['S1-3'] WHEN o_orderkey % 53 = 0 THEN ['X9', 'S3-99999'] ELSE ['S2-' || (o_custkey % 90 + 1), 'S3-7'] END AS ids, o_orderkey % 97 <> 0 AS has_tab FROM orders),
 need AS (SELECT 'S1-' || c_custkey AS s1 FROM customer), valid AS (SELECT 'S2-' || s_suppkey AS id FROM supplier UNION SELECT 'S3-7'), ls AS (SELECT * FROM res WHERE has_tab), ea AS (SELECT s1, unnest(ids) AS id FROM ls)"""
 
 
