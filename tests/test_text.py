@@ -113,3 +113,25 @@ def test_scan_keeps_empty_strings(spark, tmp_path):
     assert next((tmp_path / "out").glob("part*")).read_text() == 'a\tb\né"x\t\n'
     (tmp_path / "t.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\t S2-1 ,,S3-2\nS1-2\t\n")
     assert [r.ids for r in read_truth(spark, str(tmp_path / "t.tsv")).collect()] == [["S2-1", "S3-2"], []]
+
+
+def test_scripts(spark):
+    from pyspark.sql import functions as F
+
+    from weftlink.functions import scripts as S
+
+    cases = {
+        "Orchid 7": (["Latin"], False, False),
+        "Société": (["Latin"], False, True),
+        "तमिल नाडु": (["Devanagari"], False, False),
+        "ОOО Orchid": (["Cyrillic", "Latin"], True, False),
+        "தமிழ் Labs": (["Latin", "Tamil"], False, False),
+        "東京 12": (["CJK"], False, False),
+        "é ,;": (["Latin"], False, False),
+        "12 #": ([], False, False),
+        "": ([], False, False),
+        None: ([], False, False),
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string")
+    for r in rows.select("t", S.scripts_of(F.col("t")).alias("s"), S.mixed_inside_token(F.col("t")).alias("m"), S.has_latin_accent(F.col("t")).alias("a")).collect():
+        assert (r.s, r.m, r.a) == cases[r.t], r.t

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.scripts import FRENCH_STREETS, FRENCH_WORDS, NOISE_DOMAINS, NOISE_NULLS
+from ..functions.scripts import FRENCH_STREETS, FRENCH_WORDS
 from ..functions.text import ALIAS_MARKERS, COMPANY_PREFIX, DOMAIN_ENDINGS, LEGAL_WORDS, NULL_WORDS
 
 W, NW = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
@@ -213,12 +213,12 @@ _FRENCH = ", ".join(f"'{w}'" for w in FRENCH_WORDS)
 FLAGS = {
     "f_name_empty": f"{strip('business_name')} = ''",
     "f_addr_empty": f"{strip('business_address')} = ''",
-    "f_addr_null_token": f"regexp_matches(business_address, '(?i)(^|{NW})(?:{'|'.join(NOISE_NULLS)})(?:{NW}|$)')",
+    "f_addr_null_token": f"regexp_matches(business_address, '(?i)(^|{NW})(?:{'|'.join(NULL_WORDS)})(?:{NW}|$)')",
     "f_addr_hash": "contains(business_address, '#')",
     "f_addr_state_first": r"regexp_matches(business_address, '^\s*[A-Za-z]{2},\s')",
     "f_addr_allcaps": caps("business_address"),
     "f_name_allcaps": caps("business_name"),
-    "f_name_domain_like": f"regexp_matches(business_name, '(?i)\\.(?:{'|'.join(NOISE_DOMAINS)})(?:{NW}|$)')",
+    "f_name_domain_like": f"regexp_matches(business_name, '(?i)\\.(?:{'|'.join(DOMAIN_ENDINGS)})(?:{NW}|$)')",
     "f_name_bracket": r"regexp_matches(business_name, '[\[\]]')",
     "f_name_letter_digit": r"regexp_matches(business_name, '[A-Za-z]{2,}\d+[A-Za-z]*|\d+[A-Za-z]{2,}')",
 }
