@@ -16,8 +16,11 @@ def write_candidates(candidates: DataFrame, path: str) -> None:
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
-    """Tab-separated strings with a header, nothing quoted or escaped, empty strings empty."""
-    rows.na.fill("").write.mode("overwrite").csv(path, sep="\t", header=True, quote="\u0000", emptyValue="", escapeQuotes=False)
+    """Tab-separated strings with a header, nothing quoted or escaped, empty strings empty.
+
+    Rebalanced, so that no empty or tiny part files with a header alone stand beside the others.
+    """
+    rows.na.fill("").hint("rebalance").write.mode("overwrite").csv(path, sep="\t", header=True, quote="\u0000", emptyValue="", escapeQuotes=False)
 
 
 def result_rows(s1: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
