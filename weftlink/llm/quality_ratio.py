@@ -3,8 +3,9 @@
 Words and word pairs are hashed into ``BUCKETS`` by crc32.  Two smoothed multinomials
 over the buckets, one of the trusted documents (good quality, not toxic by their labels) and
 one of all documents, give each bucket a log ratio; a document's score is the mean ratio of its
-n-grams.  The threshold is a quantile of the trusted documents' scores, on a grid of
-thousandths, and every document is held against it: no random draws.
+n-grams.  Trusted documents whose crc32(id as text) mod ``SPLIT`` is 0 are left out of the trusted
+multinomial; the threshold is a quantile of their scores, on a grid of thousandths, so it holds for
+trusted text that was not learned.  Every document is held against it: no random draws.
 
 Everything about one document is computed inside its row from arrays; what is
 shuffled are bucket counts and grid counts, whose sizes are fixed.  Repeated
@@ -13,8 +14,8 @@ two different windows agree in the hash's upper bits, that row takes the exact
 comparison of strings instead, so results never hang on a hash.
 
 Defined cases: a null text has no words, lines or symbols and fails; texts are
-read whole; without trusted documents the ratio judges nothing and the base rules
-decide; repeated rows are judged one by one; labels that repeat must all trust.
+read whole; where none of the documents left out has a word, all trusted ones set the
+threshold; without trusted documents the ratio judges nothing and the base rules decide; repeated rows are judged one by one; labels that repeat must all trust.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .common import stored
 
 BUCKETS = 1 << 14
 QUANTILE = 0.005
+SPLIT = 5
 LEAST_WORDS = 50
 BROADCAST_IDS = 1_000_000
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -100,19 +102,33 @@ def ratio_of_none(raw: int, target: int) -> float:
     return log((raw + BUCKETS) / (target + BUCKETS))
 
 
+def set_aside(doc_id: Column) -> Column:
+    """Whether a trusted document sets the threshold instead of teaching the trusted multinomial."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % SPLIT == 0
+
+
+def limit_of(scored: DataFrame, ids: DataFrame, few: bool) -> int | None:
+    """The grid step at which the share QUANTILE of the scores of ``ids`` is reached; None without any score."""
+    own = scored.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id")).where("score is not null")
+    steps = own.groupBy(F.floor(F.col("score") * 1000).alias("step")).agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    upto = F.sum("n").over(Window.orderBy("step"))  # a row for each step of the grid
+    return steps.select("step", total.alias("total"), upto.alias("upto")).where(F.col("upto") >= F.col("total") * QUANTILE).agg(F.min("step")).first()[0]
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept of every document."""
     ids = stored(trusted_ids(labels), "trusted")
-    small = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    few = ids.count() <= BROADCAST_IDS
+    learned = ids.where(~set_aside(F.col("id")))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    table = F.from_json(F.lit(str(weights(docs, small))), "array<double>")
+    table = F.from_json(F.lit(str(weights(docs, F.broadcast(learned) if few else learned))), "array<double>")
     rows = base(docs).withColumn("buckets", buckets()).withColumn("table_", table)
     scored = rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.expr("try_divide(aggregate(buckets, 0D, (s, b) -> s + get(table_, b)), size(buckets))").alias("score"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     scored = stored(scored.withColumn("base_failed", failed), "scored")
-    steps = scored.join(small, F.col("doc_id") == F.col("id")).where("score is not null").groupBy(F.floor(F.col("score") * 1000).alias("step")).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    upto = F.sum("n").over(Window.orderBy("step"))  # a row for each step of the grid
-    limit = steps.select("step", total.alias("total"), upto.alias("upto")).where(F.col("upto") >= F.col("total") * QUANTILE).agg(F.min("step")).first()[0]
+    limit = limit_of(scored, ids.where(set_aside(F.col("id"))), few)
+    if limit is None:
+        limit = limit_of(scored, ids, few)
     good = F.lit(True) if limit is None else F.coalesce(F.floor(F.col("score") * 1000) >= limit, F.lit(False))
     return scored.withColumn("kept", ~F.col("base_failed") & good)
