@@ -32,13 +32,18 @@ from .common import LOWER, SPACED_WORD, prepare, spans, text_buffer, word_hashes
 
 #: Pages that the labeller is fitted on, at most; pages composed for each of them; bytes read of each sample page.
 SAMPLE_PAGES, COMPOSED, SAMPLE_BYTES = 160, 3, 60_000
+#: For composed training pages: furniture texts to draw from, and characters taken of a block. Extraction itself reads whole pages.
+SAMPLE_NOTES, SAMPLE_CHARS = 4000, 600
 PATH_ROWS, WORD_ROWS, WIDTH, HIDDEN = 2048, 2048, 12, 16
 EPOCHS, RATE, DECAY = 16, 0.02, 0.01
 #: Sizes of the runs of blocks labelled in one NumPy batch.
 BATCH_BLOCKS = 40_000
 
 # Element names of HTML.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "option", "object", "head"}
+#: Text of these runs to their end tag; no tags are read in it.
+RAW = {"script", "style", "textarea", "title", "iframe"}
+#: Elements whose text and inner elements are never shown as text of the page.
+UNSHOWN = {"noscript", "template", "svg", "math", "select", "option", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rb", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 #: An open element of these ends when one of the same group starts.
@@ -53,9 +58,12 @@ _ENDS = {x: re.compile(rf"</{x}\b[^>]*(?:>|\Z)", re.I) for x in RAW}
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
-    """Leaf text blocks in page order: (tag path with class, id and role words, text with references decoded)."""
+    """Leaf text blocks in page order: (tag path with class, id and role words, text with references decoded).
+
+    The path is that of all open elements, at any depth, each word once: nesting alike elements does not drown the others.
+    """
     out: list[tuple[tuple[str, ...], str]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool]] = []  # element, path so far, hidden
     parts: list[str] = []
     path: tuple[str, ...] = ()
 
@@ -67,15 +75,16 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
                 out.append((path, text))
 
     def here():
-        return tuple(w for _, words in stack[-24:] for w in words)
+        return stack[-1][1] if stack else ()
 
     at = 0
     while True:
         m = _TOKEN.search(page, at)
         if not m:
-            parts.append(page[at:])
+            if not (stack and stack[-1][2]):
+                parts.append(page[at:])
             break
-        if m.start() > at:
+        if m.start() > at and not (stack and stack[-1][2]):
             if not parts:
                 path = here()
             parts.append(page[at : m.start()])
@@ -90,24 +99,26 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             if depth is not None:
                 del stack[depth:]
             continue
+        if tag == "head":
+            continue
         if tag in RAW:
-            if tag == "head":
-                continue
             end = _ENDS[tag].search(page, at)
             if not m[3].rstrip().endswith("/"):
                 at = end.end() if end else len(page)
             flush()
             continue
-        if tag in VOID:
+        if tag in VOID or tag in UNSHOWN and m[3].rstrip().endswith("/"):
             continue
         if tag in CLOSES:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in CLOSES[tag]), None)
-            if depth is not None and all(t in INLINE or t in CLOSES[tag] for t, _ in stack[depth:]):
+            if depth is not None and all(t in INLINE or t in CLOSES[tag] for t, _, _ in stack[depth:]):
                 del stack[depth:]
         words = [tag]
         if m[3]:
             words += [f"{a[1].lower()}:{w.lower()}" for a in _ATTRIBUTE.finditer(m[3]) for w in _SPLIT.split(a[2] or a[3] or a[4] or "") if w]
-        stack.append((tag, tuple(words[:12])))
+        known = here()
+        new = tuple(dict.fromkeys(w for w in words if w not in known))
+        stack.append((tag, known + new if new else known, tag in UNSHOWN or bool(stack and stack[-1][2])))
     if parts and not path:
         path = here()
     flush()
@@ -125,10 +136,11 @@ _BUCKETS: dict[str, int] = {}
 
 
 def path_rows(path: tuple[str, ...]) -> list[int]:
+    """Rows of the distinct words of a path."""
     if len(_BUCKETS) > 100_000:
         _BUCKETS.clear()
     out = []
-    for w in path:
+    for w in dict.fromkeys(path):
         if w not in _BUCKETS:
             _BUCKETS[w] = bucket(w, PATH_ROWS)
         out.append(_BUCKETS[w])
@@ -140,7 +152,9 @@ class Bags:
 
     def __init__(self, pages: list[list[tuple[tuple[str, ...], str]]]):
         self.sizes = np.array([len(p) for p in pages], dtype=np.int64)
-        paths = [path_rows(b[0]) for p in pages for b in p]
+        known: dict[tuple[str, ...], int] = {}  # blocks share their paths, deep ones above all
+        self.path_of = np.array([known.setdefault(b[0], len(known)) for p in pages for b in p], dtype=np.int64)
+        paths = [path_rows(x) for x in known]
         self.paths = np.array([i for x in paths for i in x], dtype=np.int64)
         self.path_at = np.concatenate([[0], np.cumsum([len(x) for x in paths])]).astype(np.int64)
         data, at = text_buffer(pa.array([b[1] for p in pages for b in p], pa.large_string()))
@@ -179,7 +193,7 @@ class Labeller:
             self.w[f"{side}0"] = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])
 
     def vectors(self, bags: Bags) -> np.ndarray:
-        return np.concatenate([bag_sums(self.w["path"], bags.paths, bags.path_at), bag_sums(self.w["word"], bags.words, bags.word_at), bags.length[:, None] / 5], axis=1)
+        return np.concatenate([bag_sums(self.w["path"], bags.paths, bags.path_at)[bags.path_of], bag_sums(self.w["word"], bags.words, bags.word_at), bags.length[:, None] / 5], axis=1)
 
     def side(self, x: np.ndarray, mask: np.ndarray, name: str, keep: bool) -> tuple[np.ndarray, list]:
         """Hidden states (steps x pages x HIDDEN); a masked step leaves the state as it was."""
@@ -249,9 +263,10 @@ class Labeller:
             d_out = np.where(mask[:, :, None], d_both[at, k * HIDDEN : (k + 1) * HIDDEN], 0)
             dx = self.side_back(x, tape, d_out, name, grad)
             np.add.at(dv, at[mask], dx[mask])
-        for name, rows, at, cols in (("path", bags.paths, bags.path_at, slice(0, WIDTH)), ("word", bags.words, bags.word_at, slice(WIDTH, 2 * WIDTH))):
-            n = np.diff(at)
-            np.add.at(grad[name], rows, np.repeat(dv[:, cols] / bag_weight(at)[:, None], n, axis=0))
+        by_path = np.zeros((len(bags.path_at) - 1, WIDTH))
+        np.add.at(by_path, bags.path_of, dv[:, :WIDTH])
+        for name, rows, at, d_bag in (("path", bags.paths, bags.path_at, by_path), ("word", bags.words, bags.word_at, dv[:, WIDTH : 2 * WIDTH])):
+            np.add.at(grad[name], rows, np.repeat(d_bag / bag_weight(at)[:, None], np.diff(at), axis=0))
         return grad
 
     def fit(self, pages: list[list[tuple[tuple[str, ...], str]]], labels: list[list[int]], seed: int = 11) -> None:
@@ -349,7 +364,7 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
     r = np.random.default_rng(5)
     data, labels = [], []
     texts = [b for row in rows if (b := blocks(row["html"]))]
-    notes = [t for b in texts for p, t in b if not by_place(p)][:4000] or ["home contact about"]
+    notes = [t for b in texts for p, t in b if not by_place(p)][:SAMPLE_NOTES] or ["home contact about"]
     plain = ["About us", "Contact", "Log in or register to comment", "We use cookies", "Share this", "Related stories", "Subscribe now", "All rights reserved"]
     for b in texts or [[(("article", "p"), x)] for x in plain]:
         y = [by_place(p) for p, _ in b]
@@ -360,7 +375,7 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
         for _ in range(COMPOSED):
             size = int(r.integers(1, min(len(body), 25) + 1))
             low = int(r.integers(len(body) - size + 1))
-            made, z = composed([x[:600] for x in body[low : low + size]], notes + plain * 3, r)
+            made, z = composed([x[:SAMPLE_CHARS] for x in body[low : low + size]], notes + plain * 3, r)
             data.append(made)
             labels.append(z)
     model = Labeller()
