@@ -4,7 +4,9 @@ The model is over characters (code points), order ``ORDER``: every n-gram of the
 texts is counted, without a vocabulary to cap.  Counts, continuation counts, count-of-count
 discounts, context sums and interpolation all are shuffled joins and sums of tables that are sharded by
 n-gram.  Each document gets its perplexity; a language's threshold is a quantile of the perplexities of
-its trusted documents, and documents above it are rejected.
+its trusted documents, and documents above it are rejected.  Trusted documents whose crc32(id as text) mod
+``SPLIT`` is 0 are left out of the model and alone set the thresholds, so these hold for text that the
+model has not seen; where none of them has a perplexity, all trusted documents set them.
 
 Scoring.  While the model has at most ``BROADCAST_GRAMS`` rows it travels to the
 tasks as an open-addressing table; beyond that the distinct n-grams of each
@@ -12,7 +14,7 @@ document are joined with the sharded tables (``scored_by_join``).  Both give the
 
 Defined cases: a null or empty text has perplexity null and is rejected; a null
 language is a language of its own; a language with fewer than ``LEAST_TRUSTED``
-trusted documents takes the threshold of all; without any trusted text nothing is
+documents that set thresholds takes the threshold of all; without any trusted text nothing is
 kept; repeated rows are judged one by one (labels that repeat count once).
 """
 
@@ -22,15 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, discard, mixed, passes, prepare, runs, stored
 
 ORDER = 5
-QUANTILE = 0.995
-#: Added to each quantile of log perplexity, since the trusted documents are in the model's own training text.
-SLACK = 0.05
+QUANTILE = 0.99
+SPLIT = 5
 LEAST_TRUSTED = 20
 BROADCAST_GRAMS = 2_500_000
 BROADCAST_IDS = 1_000_000
@@ -295,20 +296,27 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("ok")).where("ok = 1").select("id")
 
 
-def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
-    """lang and its threshold: the quantile of log perplexity of its trusted documents, on a grid of thousandths.
+def set_aside(doc_id: Column) -> Column:
+    """Whether a trusted document sets thresholds instead of teaching the model."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % SPLIT == 0
+
+
+def thresholds(scored: DataFrame, quantile: float, judge: str = "judge") -> DataFrame:
+    """lang and its threshold: the quantile of log perplexity of its documents that ``judge`` names, on a grid of thousandths.
 
     One row for each language and grid step is all that is sorted.
     """
-    steps = scored.where("trusted and lp is not null").withColumn("step", F.ceil(F.col("lp") * 1000))
+    steps = scored.where(F.col(judge) & F.col("lp").isNotNull()).withColumn("step", F.ceil(F.col("lp") * 1000))
     own = steps.groupBy("lang", "step").agg(F.count("*").alias("n"))
 
     def lowest(grid: DataFrame, *keys: str) -> DataFrame:
         every = grid.withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
-        return every.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("step"))).where(F.col("upto") >= F.col("all") * quantile).groupBy(*keys).agg((F.min("step") / 1000.0 + SLACK).alias("limit"), F.max("all").alias("trusted_n"))
+        return every.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("step"))).where(F.col("upto") >= F.col("all") * quantile).groupBy(*keys).agg((F.min("step") / 1000.0).alias("limit"), F.max("all").alias("trusted_n"))
 
     whole = lowest(own.groupBy("step").agg(F.sum("n").alias("n"))).select(F.col("limit").alias("whole")).first()
     whole = whole["whole"] if whole else None
+    if whole is None and judge != "trusted":
+        return thresholds(scored, quantile, "trusted")
     langs = scored.select("lang").distinct()
     mine = lowest(own, "lang").withColumnRenamed("lang", "l")
     limit = F.when(F.coalesce("trusted_n", F.lit(0)) >= LEAST_TRUSTED, F.col("limit")).otherwise(F.lit(whole).cast("double"))
@@ -319,13 +327,16 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     """doc_id, lang, n_chars, perplexity, threshold and kept of every document."""
     prepare(docs.sparkSession)
     ids = stored(trusted_ids(labels), "trusted")
-    small = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    few = ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    model = fit(rows.join(small, F.col("doc_id") == F.col("id"), "left_semi"))
+    learned = ids.where(~set_aside(F.col("id")))
+    learned = F.broadcast(learned) if few else learned
+    model = fit(rows.join(learned, F.col("doc_id") == F.col("id"), "left_semi"))
     scorer = scored_by_broadcast if model.count() <= BROADCAST_GRAMS else scored_by_join
     scored = stored(scorer(rows, model), "scored")
     lp = F.when(F.col("n_chars") > 0, -F.col("logp") / F.col("n_chars"))
-    scored = scored.join(ids, F.col("doc_id") == F.col("id"), "left").select("doc_id", "lang", "n_chars", lp.alias("lp"), F.col("id").isNotNull().alias("trusted"))
-    limits = thresholds(scored, quantile)
+    scored = scored.join(ids, F.col("doc_id") == F.col("id"), "left").select("doc_id", "lang", "n_chars", lp.alias("lp"), F.col("id").isNotNull().alias("trusted"), F.coalesce(set_aside(F.col("id")), F.lit(False)).alias("judge"))
+    limits = stored(thresholds(scored, quantile), "limits")
+    limits = F.broadcast(limits) if limits.count() <= BROADCAST_IDS else limits  # a row for each language
     out = scored.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left")
     return out.select("doc_id", "lang", "n_chars", F.exp("lp").alias("perplexity"), F.exp("limit").alias("threshold"), F.coalesce(F.col("lp") <= F.col("limit"), F.lit(False)).alias("kept"))
