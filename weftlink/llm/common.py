@@ -53,7 +53,9 @@ def shielded(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[str]]:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # as in tests: one folder of this driver's own
+    if not base:  # as in tests: one folder of this driver's own, which only tasks on this machine can see
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="weftlink-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
