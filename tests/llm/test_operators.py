@@ -220,6 +220,8 @@ def test_quality_ratio(docs, labels, none):
         r = got[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in t or ""), len(lines) - len(set(lines)), len(repeat))
         assert r.base_failed == (len(w) < 50 or 100 * len(repeat) > 50 * len(w)) and not (r.kept and r.base_failed)
+    limit = min(r.score for i, r in got.items() if r.kept)
+    assert all(r.kept == (not r.base_failed and r.score >= limit) for r in got.values())
     assert quality_ratio.judged(none, labels).count() == 0
     assert all(r.kept == (not r.base_failed) for r in quality_ratio.judged(docs, labels.limit(0)).collect())
 
@@ -269,3 +271,28 @@ def test_html(spark):
     got = {r.page_id: r for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i].text == " ".join(f"Big & new One bold day. Two words {'more ' * i}©".split()) for i in range(12))
     assert (got[90].text, got[91].text, got[90].n_chars) == ("", "", 0)
+    body = "".join(f"<p>Paragraph {k} of the story tells what happened on that day.</p>" for k in range(5))
+    deep = [(i, "u", f"<body><nav><a>Home</a></nav><article>{'<div>' * n}{body}{'</div>' * n}</article><footer>All rights</footer>") for i, n in enumerate((0, 30, 400))]
+    odd = "page_id long, url string, html string, text int, n_chars int"
+    pages = spark.createDataFrame([(*x, 1, 2) for x in deep], odd)
+    model = html_text.train(pages.union(spark.createDataFrame([(*x, 1, 2) for x in rows], odd)))
+    out = html_text.extract(pages, model, out="main").collect()
+    assert len({x.main for x in out}) == 1 and out[0].main.count("Paragraph") == 5 and all((x.text, x.n_chars) == (1, 2) for x in out)
+    assert html_text.main_texts(pages.limit(0)).count() == 0
+    hidden = "<datalist><option>A<option>B</datalist><article><p>Keep<svg><path d=''/><text>x</text></svg> it</p><select><option>1</select><p>More</p></article>"
+    assert [t for _, t in html_text.blocks(hidden)] == ["Keep", "it", "More"]
+
+
+def test_unseen_trusted_text_is_judged_as_seen(spark):
+    """Thresholds come from trusted documents outside the models, so half of the labels serve the other half too."""
+    r = np.random.default_rng(9)
+    vocabulary = ["".join(r.choice(list("abcdefghijklmnop"), r.integers(2, 7))) for _ in range(1500)]
+    make = lambda: " ".join(vocabulary[int(i)] for i in r.zipf(1.2, 300) % 1500)
+    noise = lambda: " ".join("".join(r.choice(list("xyzqw0189"), r.integers(2, 9))) for _ in range(300))
+    rows = [(i, make() if i < 400 else noise(), "en") for i in range(440)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)] + [(i, 0, 0) for i in range(400, 420)], "doc_id long, quality int, toxic int")
+    for judged in (quality_ratio.judged, kneser_ney.classify):
+        got = by_id(judged(docs, labels))
+        kept = lambda low, high: sum(got[i].kept for i in range(low, high)) / (high - low)
+        assert kept(0, 200) > 0.9 and kept(200, 400) > 0.9 and kept(400, 440) == 0
