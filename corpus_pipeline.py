@@ -47,7 +47,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language), ("line_dedup", lines), ("shingle_join", near_duplicates), ("decontamination", decontamination), ("byte_bpe", tokens)]
 
-#: The learned and the hashed stages have no SQL form. Tests cover the operators; none runs the stages in sequence.
+#: The learned and the hashed stages have no SQL form; tests/llm/test_pipeline.py holds run() against a plain Python version.
 ORACLE_SQL = None
 
 
