@@ -1,6 +1,6 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio, in DataFrame functions only.
 
-Words and word pairs are hashed into ``BUCKETS`` by crc32.  Two smoothed multinomials
+Words and word pairs are hashed into ``BUCKETS`` by Murmur3.  Two smoothed multinomials
 over the buckets, one of the trusted documents (good quality, not toxic by their labels) and
 one of all documents, give each bucket a log ratio; a document's score is the mean ratio of its
 n-grams.  Trusted documents whose crc32(id as text) mod ``SPLIT`` is 0 are left out of the trusted
@@ -40,14 +40,13 @@ def with_words(docs: DataFrame) -> DataFrame:
 
 
 def repeated_words() -> Column:
-    """Words of ``words`` inside 3-word windows that occur twice or more; reads the sorted packed windows ``packed``."""
+    """Words of ``words`` inside 3-word windows that occur twice or more; reads ``neighbours``, the sorted packed windows whose hash another one has."""
     high = lambda x: f"shiftright({x}, {_BITS})"
     low = lambda x: f"cast({x} & {(1 << _BITS) - 1} as int)"
-    neighbours = f"filter(packed, (x, i) -> {high('x')} = {high('get(packed, i - 1)')} or {high('x')} = {high('get(packed, i + 1)')})"
     covered = "aggregate(sort_array(%s), named_struct('n', 0L, 'last', -3), (a, p) -> named_struct('n', a.n + least(3, p - a.last), 'last', p)).n"
-    fast = covered % f"transform({neighbours}, x -> {low('x')})"
-    same = " and ".join(f"get(words, {low('x')} + {k}) <=> get(words, {low('get(packed, i - 1)')} + {k})" for k in range(3))
-    clash = f"size(words) > {1 << _BITS} or exists(transform(packed, (x, i) -> i > 0 and {high('x')} = {high('get(packed, i - 1)')} and not ({same})), b -> b)"
+    fast = covered % f"transform(neighbours, x -> {low('x')})"
+    same = " and ".join(f"get(words, {low('x')} + {k}) <=> get(words, {low('get(neighbours, i - 1)')} + {k})" for k in range(3))
+    clash = f"size(words) > {1 << _BITS} or exists(transform(neighbours, (x, i) -> i > 0 and {high('x')} = {high('get(neighbours, i - 1)')} and not ({same})), b -> b)"
     spelled = "sort_array(transform(sequence(0, size(words) - 3), i -> named_struct('w', concat_ws(' ', get(words, i), get(words, i + 1), get(words, i + 2)), 'p', i)))"
     exact = covered % f"transform(filter(transform(array({spelled}), s -> transform(s, (x, i) -> named_struct('p', x.p, 'twice', coalesce(x.w = get(s, i - 1).w, false) or coalesce(x.w = get(s, i + 1).w, false))))[0], x -> x.twice), x -> x.p)"
     return F.expr(f"case when size(words) < 3 then 0L when {clash} then {exact} else {fast} end")
@@ -58,20 +57,21 @@ def base(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     packed = f"case when size(words) < 3 then cast(array() as array<bigint>) else sort_array(transform(sequence(0, size(words) - 3), i -> shiftleft(shiftright(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)), {_BITS}), {_BITS}) | i)) end"
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    rows = with_words(docs).withColumns({"packed": F.expr(packed), "lines": lines})
+    alike = " or ".join(f"shiftright(x ^ get(packed, i {k} 1), {_BITS}) = 0" for k in "-+")
+    rows = with_words(docs).withColumns({"packed": F.expr(packed), "lines": lines}).withColumn("neighbours", F.expr(f"filter(packed, (x, i) -> {alike})"))
     return rows.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "n_repeat_words": repeated_words(),
-    }).drop("packed", "lines")
+    }).drop("packed", "neighbours", "lines")
 
 
 def buckets() -> Column:
     """Buckets of all words and word pairs of ``words``."""
-    one = f"transform(words, w -> cast(crc32(cast(w as binary)) % {BUCKETS} as int))"
-    two = f"transform(sequence(0, size(words) - 2), i -> cast(crc32(cast(concat(get(words, i), ' ', get(words, i + 1)) as binary)) % {BUCKETS} as int))"
+    one = f"transform(words, w -> hash(w) & {BUCKETS - 1})"
+    two = f"transform(slice(words, 2, size(words)), (w, i) -> hash(get(words, i), w) & {BUCKETS - 1})"
     return F.expr(f"case when size(words) < 2 then {one} else concat({one}, {two}) end")
 
 
