@@ -115,3 +115,26 @@ def test_scores_come_from_the_whole_boosted_model(spark, tmp_path, monkeypatch):
     val = {r.source1_entity_id for r in matcher.entity_split(given).where("is_val").collect()}
     assert called == [matcher.ROUNDS] and len(val) == 2
     assert set(got) == {(a, b, label) for a, b, _, label in pairs if a in val} and all(0 <= p <= 1 for p in got.values())
+
+
+def test_matcher_stops_at_its_best_round_and_is_saved(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from weftlink.operators import matcher
+    from weftlink.sources import records, sinks
+
+    assert matcher.best_round([5, 4, 3, 3.5, 3.4, 3.3], 500, 3) == 3
+    assert matcher.best_round([5, 4, 3, 3.5], 500, 3) is None and matcher.best_round([5, 4, 3, 3.5], 4, 3) == 3
+    for name, value in (("PATIENCE", 2), ("DEPTH", 2), ("LEAF", 1), ("FEATURES", ["a", "b"])):
+        monkeypatch.setattr(matcher, name, value)
+    rows = spark.range(400).select("id", (F.col("id") % 17).cast("double").alias("a"), (F.col("id") * 7 % 13).cast("double").alias("b"))
+    rows = rows.withColumns({"label": (F.col("a") + (F.col("id") * 31 % 11) > 12).cast("int"), "is_val": F.col("id") % 5 == 0}).persist()
+    model = matcher.train(rows, rounds=6)
+    assert 1 <= model.getNumTrees <= 6
+    scores = {r.id: r.prob for r in matcher.scored(model, rows).select("id", "prob").collect()}
+    assert max(scores.values()) > 0.5 > min(scores.values())
+    short = matcher.first_trees(model, 1)
+    assert short.getNumTrees == 1 and short.trees[0].toDebugString == model.trees[0].toDebugString
+    sinks.write_model(model, f"{tmp_path}/model")
+    again = records.read_model(f"{tmp_path}/model")
+    assert {r.id: r.prob for r in matcher.scored(again, rows).select("id", "prob").collect()} == scores

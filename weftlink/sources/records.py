@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +73,11 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_model(path: str) -> GBTClassificationModel:
+    """A matcher that write_model saved."""
+    return GBTClassificationModel.load(path)
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Distinct first fields of the lines after the header, stripped; blank lines are left out."""
     rows = spark.read.csv(path, schema="entity_id string", sep="\t", header=True, quote="", mode="PERMISSIVE")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,11 @@ def write_dictionary(dictionary: DataFrame, path: str) -> None:
     write_text(dictionary.sparkSession, path, json.dumps(rows, ensure_ascii=False, indent=1))
 
 
+def write_model(model: GBTClassificationModel, path: str) -> None:
+    """A fitted matcher, for read_model in a later session."""
+    model.write().overwrite().save(path)
+
+
 def write_metadata(spark, path: str, metadata: dict) -> None:
     write_text(spark, path, json.dumps(metadata, indent=1, sort_keys=True))
 
