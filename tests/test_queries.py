@@ -138,3 +138,17 @@ def test_matcher_stops_at_its_best_round_and_is_saved(spark, tmp_path, monkeypat
     sinks.write_model(model, f"{tmp_path}/model")
     again = records.read_model(f"{tmp_path}/model")
     assert {r.id: r.prob for r in matcher.scored(again, rows).select("id", "prob").collect()} == scores
+
+
+def test_result_lines_are_read_as_they_stand(spark):
+    from weftlink.operators.validate import violations
+    from weftlink.sources.records import parse_results
+
+    texts = ["source1_entity_id\tmatched_entity_ids", "S1-1\tS2-1,,S3-1", " S1-2\tS2-1, S2-2", "S1-3\t  ", "", "  ", "\t", "S1-4", "S1-5\tS2-1\tx"]
+    lines = spark.createDataFrame(list(enumerate(texts, 1)), "line long, value string")
+    got = {r.line: (r.s1, r.has_tab, r.ids) for r in parse_results(lines).collect()}
+    assert got.pop(8)[1:] == (False, [])
+    assert got == {2: ("S1-1", True, ["S2-1", "", "S3-1"]), 3: (" S1-2", True, ["S2-1", " S2-2"]), 4: ("S1-3", True, []), 7: ("", True, []), 9: ("S1-5", True, ["S2-1\tx"])}
+    required = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
+    found = {(r.rule, r.s1, r.id) for r in violations(parse_results(lines), required).collect()}
+    assert {("bad_prefix", "S1-1", ""), ("bad_prefix", " S1-2", " S2-2"), ("missing_s1", "S1-2", ""), ("unexpected_s1", " S1-2", "")} <= found

@@ -80,7 +80,7 @@ def validate(spark: SparkSession, matching_path: str, candidate_path: str | None
         ids = read_ids(spark, path)
         valid = ids if valid is None else valid.unionByName(ids)
     found = header_violations(spark, matching_path, MATCH_HEADER)
-    if not found.where("rule in ('file_missing', 'file_empty', 'header_commas')").isEmpty():
+    if not found.where("rule in ('file_missing', 'file_empty', 'header_commas', 'header_unexpected')").isEmpty():
         return False, found
     matching = parse_results(read_result_lines(spark, matching_path))
     found = found.unionByName(violations(matching, required, valid))
@@ -89,7 +89,7 @@ def validate(spark: SparkSession, matching_path: str, candidate_path: str | None
     else:
         head = header_violations(spark, candidate_path, CANDIDATE_HEADER)
         found = found.unionByName(head)
-        if head.where("rule in ('file_empty', 'header_commas')").isEmpty():
+        if head.where("rule in ('file_empty', 'header_commas', 'header_unexpected')").isEmpty():
             candidates = parse_results(read_result_lines(spark, candidate_path))
             found = found.unionByName(violations(candidates, required, valid)).unionByName(not_subset(matching, candidates))
     return found.where("level = 'error'").isEmpty(), found

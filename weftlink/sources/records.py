@@ -92,8 +92,13 @@ def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_results(lines: DataFrame) -> DataFrame:
-    """line, s1, has_tab and the raw id list of the rows after the header; ids are not stripped."""
-    rows = lines.where("line > 1").where(strip(F.col("value")) != "")
+    """line, s1, has_tab and the raw id list of the rows after the header.
+
+    Nothing is stripped and blank ids stay, so that the rules see them; a blank list has no ids, and blank lines without a tab are left out.
+    """
+    has_tab = F.contains("value", F.lit("\t"))
+    rows = lines.where("line > 1").where(has_tab | (strip(F.col("value")) != ""))
     parts = F.split("value", "\t", 2)
     raw = F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
-    return rows.select("line", strip(parts[0]).alias("s1"), F.contains("value", F.lit("\t")).alias("has_tab"), F.filter(F.split(strip(raw), ",", -1), lambda i: i != "").alias("ids"))
+    ids = F.when(strip(raw) == "", F.array().cast("array<string>")).otherwise(F.split(raw, ",", -1))
+    return rows.select("line", parts[0].alias("s1"), has_tab.alias("has_tab"), ids.alias("ids"))
