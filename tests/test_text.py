@@ -135,3 +135,20 @@ def test_scripts(spark):
     rows = spark.createDataFrame([(t,) for t in cases], "t string")
     for r in rows.select("t", S.scripts_of(F.col("t")).alias("s"), S.mixed_inside_token(F.col("t")).alias("m"), S.has_latin_accent(F.col("t")).alias("a")).collect():
         assert (r.s, r.m, r.a) == cases[r.t], r.t
+
+
+def test_ngrams_of_long_texts_take_one_pass(spark):
+    import time
+
+    texts = ["ab c" * 25_000, "a\n😀b😀c", "abc", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, x string")
+    began = time.time()
+    got = {r.id: (r.g, r.w) for r in rows.select("id", X.char_ngrams(X.squash(F.col("x")), 4).alias("g"), X.char_wb_ngrams(F.col("x")).alias("w")).collect()}
+    assert time.time() - began < 30  # minutes, where each n-gram walks the text
+
+    def grams(x, n):
+        return [x[i : i + n] for i in range(len(x) - n + 1)] or ([x] if x else [])
+
+    for i, x in enumerate(texts):
+        plain, padded = "".join(c for c in x or "" if c.isascii() and c.isalnum()), f" {x} "
+        assert got[i] == (grams(plain, 4), grams(padded, 3) + (grams(padded, 4) if len(padded) >= 4 else []) if x else [])

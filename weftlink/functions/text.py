@@ -31,7 +31,8 @@ ID_MARKER = rf"(?iU)\(\s*id\s*[:#]?\s*(?:{WORD}|-)+\s*\)"
 TRAILING_PHONE = r"(?U)\s*-\s*\d{7,}\s*$"
 DOMAIN = rf"(?iU)^\s*((?:{WORD}|-)+)\.(?:{'|'.join(DOMAIN_ENDINGS)}){RIGHT}"
 ALIAS = rf"(?iU){LEFT}(?:{'|'.join(ALIAS_MARKERS)}){RIGHT}"
-NULL_TOKEN = rf"(?iU){LEFT}(?:{'|'.join(NULL_WORDS)}){RIGHT}"
+# Only an n can begin one: looking ahead is cheaper than looking behind at every character.
+NULL_TOKEN = rf"(?iU)(?=n){LEFT}(?:{'|'.join(NULL_WORDS)}){RIGHT}"
 
 
 def strip(x: Column) -> Column:
@@ -186,8 +187,11 @@ def name_words(x: Column) -> Column:
 
 
 def char_ngrams(x: Column, n: int) -> Column:
-    """All character n-grams with repeats; a shorter text that is not empty stands for itself."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(x) - (n - 1)), lambda i: F.substring(x, i, F.lit(n)))
+    """All character n-grams with repeats; a shorter text that is not empty stands for itself.
+
+    One pass of a look-ahead: a lambda over positions would compute the text, and walk it, again for each of them.
+    """
+    grams = F.regexp_extract_all(x, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))
     return F.when(F.length(x) >= n, grams).when(F.length(x) > 0, F.array(x)).otherwise(F.array().cast("array<string>"))
 
 

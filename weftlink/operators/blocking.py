@@ -6,6 +6,8 @@ one join; agreement is a bit per family, summed by partial aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,9 +60,12 @@ def probes(rows: DataFrame) -> DataFrame:
     return rows.select("country", F.col("entity_id").alias("s1"), F.explode(tagged).alias("k")).select("country", "k.family", "k.key", "s1")
 
 
-def hits(s1: DataFrame, others: DataFrame, cap: int = CAP, rare_k: int = RARE_K, rare_k_ngram: int = RARE_K_NGRAM) -> DataFrame:
-    """s1, country, src, cand, bit: every family in which a candidate is found."""
-    index = capped(postings(others, rare_k, rare_k_ngram), cap)
+def hits(s1: DataFrame, others: DataFrame, cap: int = CAP, rare_k: int = RARE_K, rare_k_ngram: int = RARE_K_NGRAM, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """s1, country, src, cand, bit: every family in which a candidate is found.
+
+    Postings are read twice, to count and to filter; ``keep`` may persist them.
+    """
+    index = capped(keep(postings(others, rare_k, rare_k_ngram)), cap)
     bit = F.create_map(*[x for f, b in BIT.items() for x in (F.lit(f), F.lit(b))])
     found = probes(s1).join(index, ["country", "family", "key"])
     return found.select("s1", "country", "src", F.col("entity_id").alias("cand"), bit[F.col("family")].alias("bit"))
@@ -133,15 +138,16 @@ def by_family(masks: DataFrame, src: str) -> Column:
     return F.map_from_entries(F.filter(F.array(*counts), lambda e: e["value"] > 0))
 
 
-def candidates(s1: DataFrame, others: DataFrame, top_k: int = TOP_K, tfidf_k: int = TFIDF_K, cap: int = CAP, rare_k: int = RARE_K, rare_k_ngram: int = RARE_K_NGRAM) -> DataFrame:
+def candidates(s1: DataFrame, others: DataFrame, top_k: int = TOP_K, tfidf_k: int = TFIDF_K, cap: int = CAP, rare_k: int = RARE_K, rare_k_ngram: int = RARE_K_NGRAM, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """One row for each S1 record: its ranked candidates and agreements, the size of the raw union and hits by family.
 
     An S1 record without candidates has empty lists.  ``tfidf_k`` of 0 leaves TF-IDF out.
+    Candidates are read twice, to be ranked and to be counted; ``keep`` may persist them, as the postings.
     """
-    found = hits(s1, others, cap, rare_k, rare_k_ngram)
+    found = hits(s1, others, cap, rare_k, rare_k_ngram, keep)
     if tfidf_k:
         found = found.unionByName(tfidf_topk(s1, others, tfidf_k).select("s1", "country", "src", "cand", F.lit(BIT["tfidf"]).alias("bit")))
-    masks = agreements(found)
+    masks = keep(agreements(found))
     best = ranked(coarse_scores(masks, s1, others), top_k)
     lists = best.groupBy("s1").agg(F.sort_array(F.collect_list(F.struct("rank", "cand", "agreement"))).alias("best"))
     volume = masks.groupBy("s1").agg(F.count("*").alias("n"), by_family(masks, "S2").alias("k2"), by_family(masks, "S3").alias("k3"))

@@ -228,7 +228,7 @@ _KEPT: list[DataFrame] = []
 
 def kept(rows: DataFrame) -> DataFrame:
     """Normalised rows are read by many branches of a query: compute them once, and let go of those of earlier queries."""
-    while len(_KEPT) > 3:
+    while len(_KEPT) > 5:
         _KEPT.pop(0).unpersist()
     _KEPT.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
     return rows
@@ -284,7 +284,7 @@ def flat_candidates(rows: DataFrame) -> DataFrame:
 
 def candidates_of(spark, sf_dir, tfidf_k: int = 0) -> DataFrame:
     rows = blocked(spark, sf_dir)
-    return B.candidates(rows.where("src = 'S1'"), rows.where("src <> 'S1'"), tfidf_k=tfidf_k)
+    return B.candidates(rows.where("src = 'S1'"), rows.where("src <> 'S1'"), tfidf_k=tfidf_k, keep=kept)
 
 
 @query(O.sql(*RANKED, O.CANDIDATES))
