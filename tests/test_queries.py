@@ -152,3 +152,26 @@ def test_result_lines_are_read_as_they_stand(spark):
     required = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     found = {(r.rule, r.s1, r.id) for r in violations(parse_results(lines), required).collect()}
     assert {("bad_prefix", "S1-1", ""), ("bad_prefix", " S1-2", " S2-2"), ("missing_s1", "S1-2", ""), ("unexpected_s1", " S1-2", "")} <= found
+
+
+def test_scores_move_words_by_blocks_and_are_jaccard(spark, monkeypatch):
+    from weftlink.operators import blocking as B
+
+    monkeypatch.setattr(B, "BLOCK", 7)
+    monkeypatch.setattr(B, "STEP", 3)
+    words = lambda i, n: [f"w{i * k % 11}" for k in range(1, n)]
+    record = lambda i, p: (f"{p}{i}", "en", list(dict.fromkeys(words(i, 2 + i % 5))), list(dict.fromkeys(words(i + 1, 1 + i % 7))))
+    s1, others = [record(i, "a") for i in range(20)] + [("none", "en", None, None)], [record(i, "b") for i in range(30)] + [("nil", "en", [], [])]
+    schema = "entity_id string, country string, name_tokens array<string>, addr_tokens array<string>"
+    listed = [(x[0], y[0], i + j) for i, x in enumerate(s1) for j, y in enumerate(others)] + [("a1", "lost", 0), ("lost", "b1", 0)]
+    rows = B.coarse_scores(spark.createDataFrame(listed, "s1 string, cand string, agreement int"), spark.createDataFrame(s1, schema), spark.createDataFrame(others, schema))
+    vocabulary = {w for o in others for c in o[2:] for w in c}
+
+    def jaccard(x, y):
+        x, y = set(x or ()) & vocabulary, set(y or ())
+        return len(x & y) / len(x | y) if x | y else 0.0
+
+    want = {(x[0], y[0], i + j): 0.5 * jaccard(x[2], y[2]) + 0.5 * jaccard(x[3], y[3]) for i, x in enumerate(s1) for j, y in enumerate(others)}
+    assert {(r.s1, r.cand, r.agreement): r.score for r in rows.collect()} == want
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan  # words used to be joined to each pair

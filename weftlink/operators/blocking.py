@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import char_wb_ngrams
+from ..workers import ship
 
 FAMILIES = ["squash", "rare_name", "rare_ngram", "addr_num", "addr_pin", "rare_addr", "tfidf"]
 BIT = {f: 1 << i for i, f in enumerate(FAMILIES)}
 RARE_K, RARE_K_NGRAM, CAP, TOP_K, TFIDF_K = 3, 2, 300, 50, 50
+#: Records of one side that a task scores together, and candidates of a record that it scores at once.
+BLOCK, STEP = 32_768, 1_024
 
 
 def document_frequency(rows: DataFrame, column: str) -> DataFrame:
@@ -113,17 +119,61 @@ def coarse_scores(pairs: DataFrame, s1: DataFrame, others: DataFrame) -> DataFra
         rows = s1.select("country", "entity_id", F.explode(column).alias("tok")).join(vocabulary, ["country", "tok"], "left_semi")
         return rows.groupBy("entity_id").agg(F.collect_set("tok").alias(f"s1_{column}"))
 
-    none = F.array().cast("array<string>")
+    hashed = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
     left = s1.select("entity_id").join(known("name_tokens"), "entity_id", "left").join(known("addr_tokens"), "entity_id", "left")
-    left = left.select(F.col("entity_id").alias("s1"), *[F.coalesce(f"s1_{c}", none).alias(f"s1_{c}") for c in ("name_tokens", "addr_tokens")])
-    right = others.select(F.col("entity_id").alias("cand"), "name_tokens", "addr_tokens")
-    rows = pairs.join(left, "s1").join(right, "cand")
-
-    def jaccard(column: str) -> Column:
-        both = F.size(F.array_intersect(f"s1_{column}", column))
-        return F.coalesce(F.try_divide(both, F.size(f"s1_{column}") + F.size(column) - both), F.lit(0.0))
-
-    return rows.select(*pairs.columns, (0.5 * jaccard("name_tokens") + 0.5 * jaccard("addr_tokens")).alias("score"))
+    left = left.select(F.col("entity_id").alias("s1"), *[hashed(F.col(f"s1_{c}")).alias(c) for c in ("name_tokens", "addr_tokens")])
+    right = others.select(F.col("entity_id").alias("cand"), *[hashed(F.col(c)).alias(c) for c in ("name_tokens", "addr_tokens")])
+    # Words travel once for each block of the other side, not once for each pair.
+    rows, columns = max(2, -(-s1.count() // BLOCK)), max(4, -(-others.count() // BLOCK))
+    row, column = F.pmod(F.xxhash64("s1"), F.lit(rows)), F.pmod(F.xxhash64("cand"), F.lit(columns))
+    lists = pairs.groupBy("s1", column.alias("column")).agg(F.collect_list(F.struct(*[F.col(c) for c in pairs.columns])).alias("pairs"))
+    left = lists.join(left, "s1").select((row * columns + F.col("column")).alias("cell"), "pairs", "name_tokens", "addr_tokens")
+    right = right.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda r: r * columns + column)))
+    ship()
+    inner = pairs.schema.simpleString()
+    scores = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(_cell_scores, f"pairs array<{inner}>, scores array<double>")
+    zipped = scores.select(F.explode(F.arrays_zip("pairs", "scores")).alias("z")).where("z.scores IS NOT NULL")
+    return zipped.select("z.pairs.*", F.col("z.scores").alias("score"))
+
+
+def _lists(table: pa.Table, name: str) -> tuple[pa.Array, np.ndarray]:
+    """The items of a column of lists in one array, and where each list begins, with the end."""
+    whole = table[name].combine_chunks()
+    if isinstance(whole, pa.ChunkedArray):
+        whole = pa.concat_arrays(whole.chunks)
+    return whole.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(whole).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def _cell_scores(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Lists of pairs as they came, with the scores of each list; null for a candidate that has no record."""
+    pairs, first = _lists(left, "pairs")
+    names, fields = [f.name for f in pairs.type], pairs.flatten()
+    at = pc.fill_null(pc.index_in(fields[names.index("cand")], value_set=right["cand"].combine_chunks()), -1).to_numpy(zero_copy_only=False)
+    score = np.zeros(len(at))
+    for name in ("name_tokens", "addr_tokens"):
+        (mine, begin), (theirs, start) = _lists(left, name), _lists(right, name)
+        words, ids = np.unique(theirs.to_numpy(zero_copy_only=False), return_inverse=True)
+        mine, sizes, seen = mine.to_numpy(zero_copy_only=False), np.diff(start), np.zeros(len(words), bool)
+        place = np.searchsorted(words, mine)
+        shared = place < len(words)
+        shared[shared] = words[place[shared]] == mine[shared]
+        for i in range(left.num_rows):
+            own = slice(begin[i], begin[i + 1])
+            marked = place[own][shared[own]]
+            seen[marked] = True
+            for k in range(first[i], first[i + 1], STEP):
+                found = k + np.flatnonzero(at[k : min(k + STEP, first[i + 1])] >= 0)
+                n = sizes[at[found]]
+                ends = np.cumsum(n)
+                hits = seen[ids[np.repeat(start[at[found]] - ends + n, n) + np.arange(n.sum())]]
+                total = np.concatenate([[0], np.cumsum(hits)])
+                both = total[ends] - total[ends - n]
+                union = (begin[i + 1] - begin[i]) + n - both
+                score[found] += 0.5 * np.divide(both, union, out=np.zeros(len(n)), where=union > 0)
+            seen[marked] = False
+    ends = pa.array(first, pa.int32())
+    scores = pa.array(score, pa.float64(), mask=at < 0)
+    return pa.table({"pairs": pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(fields, names)), "scores": pa.ListArray.from_arrays(ends, scores)})
 
 
 def ranked(pairs: DataFrame, k: int = TOP_K) -> DataFrame:
