@@ -175,3 +175,21 @@ def test_scores_move_words_by_blocks_and_are_jaccard(spark, monkeypatch):
     assert {(r.s1, r.cand, r.agreement): r.score for r in rows.collect()} == want
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan  # words used to be joined to each pair
+
+
+def test_parts_of_one_name_are_compared_once(spark, tmp_path, monkeypatch):
+    from weftlink.functions import similarity
+    from weftlink.plans import queries
+
+    asked, measure = spark.sparkContext.accumulator(0), similarity.jaro_winkler
+
+    def counted(x, y):
+        asked.add(1)
+        return measure(x, y)
+
+    monkeypatch.setattr(queries.SIM, "best_jaro_winkler", similarity._best(counted))
+    parts = [(k, f"b{k % 2}", 1 + k % 3, ["red tin", "tin red", "blue tin"][k // 6 % 3]) for k in range(120)]
+    d = stored(spark, tmp_path, part=(parts, "p_partkey long, p_brand string, p_size int, p_name string"))
+    got = {(r.a, r.b): r.jw for r in QUERIES["jaro_winkler"](spark, d).collect()}
+    want = {(a[0], b[0]): round(measure(a[3], b[3]), 6) for a in parts for b in parts if a[1:3] == b[1:3] and a[0] < b[0]}
+    assert got == want and asked.value == 9  # 3 names against 3

@@ -374,10 +374,15 @@ def numeric_suffix_overlap(spark, sf_dir):
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 6) AS jw FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
 def jaro_winkler(spark, sf_dir):
+    """Names are compared once in each group, however many parts bear them; their parts are paired in the JVM."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    a = part.select(F.col("p_partkey").alias("a"), "p_brand", "p_size", F.array("p_name").alias("x"))
-    b = part.select(F.col("p_partkey").alias("b"), "p_brand", "p_size", F.array("p_name").alias("y"))
-    return a.join(b, ["p_brand", "p_size"]).where("a < b").select("a", "b", F.round(SIM.best_jaro_winkler("x", "y"), 6).alias("jw"))
+    a = part.select(F.col("p_partkey").alias("a"), "p_brand", "p_size", F.col("p_name").alias("x"))
+    b = part.select(F.col("p_partkey").alias("b"), "p_brand", "p_size", F.col("p_name").alias("y"))
+    names = a.select("p_brand", "p_size", "x").distinct().join(b.select("p_brand", "p_size", "y").distinct(), ["p_brand", "p_size"])
+    met = names.select(F.col("x").alias("one"), F.col("y").alias("two")).distinct().withColumn("jw", F.round(SIM.best_jaro_winkler(F.array("one"), F.array("two")), 6))
+    scored = names.join(met, F.col("x").eqNullSafe(F.col("one")) & F.col("y").eqNullSafe(F.col("two"))).select("p_brand", "p_size", F.col("x").alias("one"), F.col("y").alias("two"), "jw")
+    left = a.join(scored, ["p_brand", "p_size"]).where(F.col("x").eqNullSafe(F.col("one"))).select("a", "p_brand", "p_size", "two", "jw")
+    return left.join(b, ["p_brand", "p_size"]).where(F.col("two").eqNullSafe(F.col("y")) & (F.col("a") < F.col("b"))).select("a", "b", "jw")
 
 
 @query()
