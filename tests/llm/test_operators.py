@@ -132,6 +132,14 @@ def test_shingle_join(spark, docs, none, meeting, monkeypatch):
     assert {r.doc_id: r.component_id for r in linked} == {7: 7, None: 7, 9: 7}
 
 
+def test_shingle_join_entries_are_shuffled_only(spark, docs, monkeypatch):
+    kinds = []
+    real = shingle_join.stored
+    monkeypatch.setattr(shingle_join, "stored", lambda df, name: kinds.append({r.kind for r in df.select("kind").distinct().collect()} if "kind" in df.columns else set()) or real(df, name))
+    assert shingle_join.groups(docs).count() == len(TEXTS) + 1
+    assert not any(1 in k and 2 not in k or k == {0, 1} for k in kinds) and {0, 2} <= set().union(*kinds)  # sets come out of the exchange of the entries
+
+
 def test_prefix_tree():
     r = np.random.default_rng(1)
     base = np.sort(r.choice(10_000, 60, replace=False)).astype(np.uint64)

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +118,7 @@ def frequent(docs: DataFrame, width: int) -> Order:
             n = np.diff(at)
             again = n >= 3
             yield pa.RecordBatch.from_arrays([pa.array(every[at[:-1][again]].view(np.int64)), pa.array(n[again])], ["gram", "n"])
+        trim()
 
     rows = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     top = rows.where(f"n > {MEETING}").orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toArrow()
@@ -236,7 +238,7 @@ def distinct_pairs(a, size_a, b, size_b, *sums):
 
 SIGNS = [f"s{k}" for k in range(SKETCH)]
 ENTRY = "kind int, doc_id long, digest long, n int, shard int, block binary, " + ", ".join(f"{s} long" for s in SIGNS)
-MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int"
+MEET = "kind int, shard int, block binary, meeting long, digest long, n int, place int, doc_id long, " + ", ".join(f"{s} long" for s in SIGNS)
 #: Bits in which the parity sketches of two sets differ, in SQL.
 SKETCHED = " + ".join(f"bit_count({s}a ^ {s}b)" for s in SIGNS)
 
@@ -255,7 +257,7 @@ def _batch(schema: str, rows: int, **columns) -> pa.RecordBatch:
 
 
 def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
-    """Rows of kind 0: doc_id, digest and size of each set; of kind 1: packed first n-grams by shard."""
+    """Rows of kind 0: doc_id, digest and size of each set, dealt over the shards; of kind 1: packed first n-grams by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Order = order.value
@@ -273,7 +275,7 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
                     maps.append(bitmap(keys))
                     rare.append(65535 * np.searchsorted(keys, U64(1 << 63)) // len(keys))
             words = np.stack(sketches, axis=1) if sketches else np.zeros((SKETCH, 0), np.int64)
-            yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes, **dict(zip(SIGNS, words, strict=True)))
+            yield _batch(ENTRY, len(batch), kind=[0] * len(batch), doc_id=batch.column(0), digest=digests, n=sizes, shard=np.arange(len(batch), dtype=np.int32) % shards, **dict(zip(SIGNS, words, strict=True)))
             if not firsts:
                 continue
             lengths = np.array([len(f) for f in firsts])
@@ -290,20 +292,26 @@ def digested(docs: DataFrame, order, width: int, shards: int) -> DataFrame:
                 sets, local = np.unique(of[own], return_inverse=True)
                 blocks.append(pack(keys[own], local.astype(np.uint16), place[own].astype(np.uint32), ids[sets], size[sets], bits[sets], own_rare[sets]))
             yield _batch(ENTRY, len(held), kind=[1] * len(held), shard=held, block=blocks)
+        trim()
 
     return docs.select("doc_id", "text").mapInArrow(run, ENTRY)
 
 
 def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> DataFrame:
-    """Meetings of at most ``meeting`` sets are small.  Rows of kind 0: packed candidate pairs by shard; of kind 1: members of large meetings."""
+    """Meetings of at most ``meeting`` sets are small.  Rows of kind 0: packed candidate pairs by shard; of kind 1: members of large
+    meetings; of kind 2: the entries of kind 0 as they came, so that they take the same exchange and need no table of their own."""
 
     meeting = meeting or MEETING
 
     def run(table: pa.Table) -> pa.Table:
+        own = table.filter(pc.equal(table.column("kind"), 0)).combine_chunks()
+        out = [_batch(MEET, len(own), kind=np.full(len(own), 2, np.int32), **{c: own.column(c).combine_chunks() for c in ("doc_id", "digest", "n", *SIGNS)})]
         parts = []
-        for block in table.column("block"):
+        for block in table.column("block").drop_null():
             keys, local, place, ids, size, bits, rare = unpack(block.as_py())
             parts.append((keys, ids[local], size[local].astype(np.int64), place.astype(np.int64), bits[local], rare[local]))
+        if not parts:
+            return pa.Table.from_batches(out)
         pairs, (ids, sizes, places, keys) = pairs_of_meetings(*(np.concatenate(x) for x in zip(*parts, strict=True)), meeting)
         a, sa, b, sb, shared, first = distinct_pairs(*pairs)
         to = cut(mixed(a.view(np.uint64) * U64(31) + b.view(np.uint64)), shards)
@@ -311,7 +319,7 @@ def meetings(entries: DataFrame, shards: int, meeting: int | None = None) -> Dat
         bounds = np.searchsorted(to[rank], np.arange(shards + 1))
         held = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
         blocks = [pack(a[own], sa[own].astype(np.int32), b[own], sb[own].astype(np.int32), shared[own].astype(np.uint32), np.minimum(first[own], 255).astype(np.uint8)) for s in held for own in [rank[bounds[s] : bounds[s + 1]]]]
-        out = [_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks)]
+        out.append(_batch(MEET, len(held), kind=[0] * len(held), shard=held, block=blocks))
         out.append(_batch(MEET, len(ids), kind=np.ones(len(ids), np.int32), meeting=keys.view(np.int64), digest=ids, n=sizes.astype(np.int32), place=places.astype(np.int32)))
         trim()
         return pa.Table.from_batches(out)
@@ -365,6 +373,7 @@ def sets_of(docs: DataFrame, sets: DataFrame, order, width: int) -> DataFrame:
             wanted, found = batch.column(0).to_pylist(), [known.keys(g) if (len(g) and digest(g) == w) else None for g, w in zip(shingles(batch.column(1), width), batch.column(0).to_pylist(), strict=True)]
             at = [i for i, f in enumerate(found) if f is not None]
             yield pa.RecordBatch.from_arrays([pa.array([wanted[i] for i in at], pa.int64()), pa.array([len(found[i]) for i in at], pa.int32()), pa.array([found[i].tobytes() for i in at], pa.binary())], ["digest", "n", "grams"])
+        trim()
 
     return rows.mapInArrow(run, "digest long, n int, grams binary")
 
@@ -376,7 +385,10 @@ def verified(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     parted = parted.withColumn("block", F.pmod(F.xxhash64("a", "part"), F.lit(blocks)).cast("int"))
     queries = parted.select("block", "a", "part", F.lit(None).cast("long").alias("b"), F.col("a").alias("digest")).distinct()
     members = parted.select("block", "a", "part", "b", F.col("b").alias("digest"))
-    held = queries.unionByName(members).join(sets, "digest").select("block", "a", "part", "b", "grams")
+    wanted = queries.unionByName(members)
+    if pairs.count() <= BROADCAST_IDS:  # so that sets travel once, to their block
+        wanted = F.broadcast(wanted)
+    held = wanted.join(sets, "digest").select("block", "a", "part", "b", "grams")
 
     def run(table: pa.Table) -> pa.Table:
         groups: dict = {}
@@ -427,13 +439,11 @@ def join(docs: DataFrame, width: int = WORDS) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    shards = 2 * shard_count(spark)
+    shards = shard_count(spark)  # a block has the sets of its entries besides, so more shards send more
     order = spark.sparkContext.broadcast(frequent(docs, width))  # at most FREQUENT hashes
-    first = stored(digested(docs, order, width, shards), "digests")
-    sets = first.where("kind = 0").select("doc_id", "digest", F.col("n").cast("long").alias("n"), *SIGNS)
-    met = stored(meetings(first.where("kind = 1").select("shard", "block"), shards), "meetings")
-    sets = stored(sets, "sets")
-    discard(first)
+    met = stored(meetings(digested(docs, order, width, shards), shards), "meetings")
+    discard()
+    sets = stored(met.where("kind = 2").select("doc_id", "digest", F.col("n").cast("long").alias("n"), *SIGNS), "sets")
     large = stored(met.where("kind = 1").select("meeting", "digest", "n", "place"), "large")
     pairs = stored(candidate_pairs(met.where("kind = 0").select("shard", "block")), "pairs")
     discard(met)
