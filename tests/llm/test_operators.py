@@ -175,6 +175,38 @@ def test_line_dedup(docs, none, common, monkeypatch):
         assert line_dedup.report(none).count() == 0
 
 
+def test_line_dedup_group_of_near_copies(spark, monkeypatch):
+    """A group of near copies, each with rare words of its own: what meets follows the group's size, not its square."""
+    r = np.random.default_rng(5)
+    base, n = [f"base{k}" for k in range(60)], 60
+    lines = []
+    for i in range(n):
+        words = list(base)
+        for at in r.choice(60, 3, replace=False):
+            words[at] = f"rare{i}x{at}"
+        lines.append(" ".join(words))
+    rare = [w for x in lines for w in x.split() if w.startswith("rare")]
+    rows = [(i, x) for i, x in enumerate(lines)] + [(1000 + i, f"{w} other{i} more{i} words{i} here{i}") for i, w in enumerate(rare)]  # each rare word occurs twice
+    seen, real = [], line_dedup.met
+    monkeypatch.setattr(line_dedup, "met", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = by_id(line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [got[i].n_removed for i in range(n)] == [0] + [1] * (n - 1) and not any(got[1000 + i].n_removed for i in range(len(rare)))
+    assert sum(x.count() for x in seen) < 4 * n  # all pairs: 1770
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in seen]
+    assert all(p.count("LeftAnti") == 0 for p in plans)  # covered sets are marked, not joined away with all that a set carries
+
+
+def test_line_dedup_places(spark):
+    """Numbers made of id and line, and places that must be sorted, give the same."""
+    text = ["a b c d e\nx y", "x y\nq r s t", None, "a b c d e"]
+    make = lambda ids: spark.createDataFrame(list(zip(ids, text, strict=True)), "doc_id long, text string")
+    removed = lambda ids: {(r.n_removed, r.removed_lines) for r in line_dedup.report(make(ids)).collect()}
+    table = lambda ids: line_dedup.line_table(make(ids).withColumn("th", line_dedup.F.xxhash64("text")))
+    assert line_dedup.packed(table([3, 5, 6, 9])) == "shiftleft(first.doc_id, 1) + first.line"
+    assert all(line_dedup.packed(table(ids)) is None for ids in ([-4, 5, 6, 9], [None, 5, 6, 9], [3, 5, 6, 1 << 62], [3, 3, 6, 9]))
+    assert removed([-4, 5, 6, 9]) == removed([3, 5, 6, 9]) == {(0, ""), (1, "0")}
+
+
 def test_katz(docs, none, spark):
     rows = by_id(katz.score(docs))
     data = {i: SPACED.findall(low(t)) + [" e"] for i, t in enumerate(TEXTS)}

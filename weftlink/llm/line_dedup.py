@@ -15,8 +15,9 @@ Of the sets that meet, pairs are kept whose sizes fit (length filter), whose pla
 filter) and whose parity bitmaps differ in no more bits than words may; these are verified on the whole sets.
 
 Scale.  Equal sets enter once, numbered in document order.  A group of near copies is collapsed first: lines that share one of their
-first ``FORE`` entries are held against the earliest of them alone, and what that covers needs no earlier line any more.  The join
-then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys, so that the disk holds the shuffle of one.
+first ``FORE`` entries, or two neighbouring ones of the first ``LINKS + 1``, are held against the earliest of them alone, and what that
+covers needs no earlier line any more.  The join then seeks earlier lines for the others only; it runs in ``ROUNDS`` slices of its keys,
+so that the disk holds the shuffle of one, which both sides of the join read.
 Only numbers are shuffled, texts are not, except to verify more lines than ``BROADCAST_LINES`` or ``BROADCAST_DOCS`` allow.
 
 Defined cases: a null or empty text, and a line without words, keep what they have; sets of one or
@@ -38,8 +39,8 @@ CELLS = 1 << 18
 COMMON = 1024
 #: Sets of up to so many words have bitmaps of 64 and 128 bits, larger ones of 256.
 SMALL, MIDDLE = 48, 112
-#: Entries of a line by which it meets the earliest line that has them; slices of the join.
-FORE, ROUNDS = 2, 6
+#: Entries, and pairs of neighbouring entries, of a line by which it meets the earliest line that has them; slices of the join.
+FORE, LINKS, ROUNDS = 2, 5, 3
 #: Lines to verify and documents that hold them which may be broadcast; beyond either they are joined by a shuffle.
 BROADCAST_LINES, BROADCAST_DOCS = 2_000_000, 300_000
 _REGEX = r"[\\x20\\x09-\\x0D]+"
@@ -125,28 +126,28 @@ ALIKE = f"bit_count({_BITS[0]}) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL}
 
 
 def led(sets: DataFrame) -> DataFrame:
-    """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, wherever they stand."""
-    folded = [F.expr("s1 ^ s3").alias("s1"), F.expr("s2 ^ s4").alias("s2")]  # half the bitmap will do here
-    fore = sets.where("n >= 3").select("id", "n", *folded, F.explode(F.slice("keys", 1, FORE)).alias("e")).withColumn("key", F.expr("shiftright(e, 20)")).drop("e")
-    lead = fore.groupBy("key").agg(F.min(F.struct("id", "n", "s1", "s2")).alias("x"), F.count("*").alias("times")).where("times > 1")
-    lead = lead.select(F.col("key").alias("k"), *[F.col(f"x.{c}").alias(f"{c}a") for c in ("id", "n", "s1", "s2")])
-    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", "s1", "s2")])
-    alike = f"bit_count(s1a ^ s1b ^ s2a ^ s2b) <= {_SPARE} and (na <= {SMALL} or nb <= {SMALL} or bit_count(s1a ^ s1b) + bit_count(s2a ^ s2b) <= {_SPARE})"
-    return lead.join(rows, F.expr(f"k = key and ida < idb and {FITS} and {alike}")).selectExpr("ida as a", "idb as b").distinct()
+    """Pairs a, b: b and the earliest set a that has one of its first ``FORE`` entries among its own, or two neighbouring ones of its
+    first ``LINKS + 1``, wherever they stand."""
+    key = "transform(keys, e -> shiftright(e, 20))"
+    links = f"case when size(k) > 1 then transform(sequence(0, least(size(k) - 2, {LINKS - 1})), i -> xxhash64(get(k, i), get(k, i + 1))) else cast(array() as array<bigint>) end"
+    fore = sets.where("n >= 3").select("id", "n", F.expr("s1 ^ s2 ^ s3 ^ s4").alias("s"), F.expr(key).alias("k"))  # 64 bits of the bitmap will do here
+    fore = fore.select("id", "n", "s", F.explode(F.expr(f"concat(slice(k, 1, {FORE}), {links})")).alias("key")).where("id is not null and n is not null and s is not null and key is not null").repartition("key")
+    lead = fore.groupBy("key").agg(F.min("id").alias("ida"), F.min_by("n", "id").alias("na"), F.min_by("s", "id").alias("sa"), F.count("*").alias("times")).where("times > 1").withColumnRenamed("key", "k")
+    rows = fore.select("key", *[F.col(c).alias(f"{c}b") for c in ("id", "n", "s")])
+    return lead.join(rows, F.expr(f"k = key and ida < idb and {FITS} and bit_count(sa ^ sb) <= {_SPARE}")).selectExpr("ida as a", "idb as b").distinct()
 
 
 def met(sets: DataFrame, covered: DataFrame, k: int, rounds: int) -> DataFrame:
     """Pairs a, b of sets that meet in slice k, a before b, b not covered."""
-    every = sets.where("n >= 3")
-    sides = {"a": every, "b": every.join(covered.select(F.col("late").alias("id")), "id", "left_anti")}
-
-    def entries(x: str) -> DataFrame:
-        rows = sides[x].select("id", "n", *SIGNS, F.explode("keys").alias("e")).where(f"pmod(shiftright(e, 21), {rounds}) = {k}")
-        rows = rows.select(F.expr("shiftright(e, 20)").alias("key"), F.expr(f"cast(e & {_PLACE} as int)").alias("p"), "id", "n", *SIGNS)
-        return rows.select(*[F.col(c).alias(f"{c}{x}") for c in rows.columns])
-
-    fits = f"keya = keyb and ida < idb and {FITS} and {PLACED} and {ALIKE}".replace("paired", "keya & 1 = 1")
-    return entries("a").join(entries("b"), F.expr(fits)).selectExpr("ida as a", "idb as b").distinct()
+    rows = sets.where("n >= 3").join(covered.select(F.col("late").alias("id"), F.lit(0).alias("open")), "id", "left")
+    rows = rows.select("id", "n", *SIGNS, F.coalesce("open", F.lit(1)).alias("open"), F.explode("keys").alias("e")).where(f"pmod(shiftright(e, 21), {rounds}) = {k}")
+    # The place and, in the last bit, whether earlier sets are sought: both sides are alike, so that they share one shuffle.
+    rows = rows.select(F.expr("shiftright(e, 20)").alias("key"), F.expr(f"cast(e & {_PLACE} as int) * 2 + open").alias("p"), "id", "n", *SIGNS)
+    one, two = (rows.select(*[F.col(c).alias(f"{c}{x}") for c in rows.columns]) for x in "ab")
+    placed = PLACED.replace("pa", "shiftright(pa, 1)").replace("pb", "shiftright(pb, 1)").replace("shiftright(pa, 1)ired", "paired")
+    sought = "(pb & 1 = 1 or ida < 0)"  # no id is negative; a filter of one side alone would part the sides
+    fits = f"keya = keyb and ida < idb and {sought} and {FITS} and {placed} and {ALIKE}".replace("paired", "keya & 1 = 1")
+    return one.join(two, F.expr(fits)).selectExpr("ida as a", "idb as b").distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -168,24 +169,41 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return found
 
 
+def packed(table: DataFrame) -> str | None:
+    """SQL for a number that keeps the order of places, out of the id of the document and the line; None where ids are null, negative,
+    too large or shared by different texts, so that the places must be sorted."""
+    ids = table.where("line = 0").groupBy("doc_id").agg((F.min("th") != F.max("th")).alias("shared"))
+    odd = F.coalesce(F.max(F.expr("shared or doc_id is null or doc_id < 0")), F.lit(False))
+    ids = ids.agg(odd.alias("odd"), F.coalesce(F.max("doc_id"), F.lit(0)).alias("most")).first()
+    bits = int(table.agg(F.coalesce(F.max("line"), F.lit(0))).first()[0]).bit_length()
+    return None if ids["odd"] or int(ids["most"]).bit_length() + bits > 62 else f"shiftleft(first.doc_id, {bits}) + first.line"
+
+
+def few(rows: DataFrame, most: int) -> DataFrame:
+    """The rows, to be broadcast unless there are more than ``most``."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, th, n_lines (lines that hold a word) and removed (their numbers, from 0)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     table = stored(line_table(docs), "lines")
     place = F.struct("doc_id", "th", "line")
     sets = table.where("n > 0").groupBy("sid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first(F.struct("keys", *SIGNS)).alias("x"))
+    number = packed(table)
     discard()
     # Numbered in document order, and stored, so that the numbers stay.
-    sets = stored(sets.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "sid", "first", "n", "x.*"), "sets")
+    sets = sets.withColumn("id", F.expr(number)) if number else sets.orderBy("first").withColumn("id", F.monotonically_increasing_id())
+    sets = stored(sets.select("id", "sid", "first", "n", "x.*"), "sets")
     lines = stored(table.select("doc_id", "th", "line", F.when(F.col("n") > 0, F.col("sid")).alias("sid")), "places")
     discard(table)
     pairs = stored(led(sets), "led")
     discard()
     late = similar(docs, sets, pairs)
     discard(pairs)
-    found = []
+    found, covered = [], few(late, BROADCAST_LINES)
     for k in range(ROUNDS):
-        found.append(stored(met(sets, late, k, ROUNDS), "met"))
+        found.append(stored(met(sets, covered, k, ROUNDS), "met"))
         discard()
     pairs = found[0]
     for x in found[1:]:
