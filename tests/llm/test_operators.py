@@ -77,6 +77,22 @@ def test_bpe(docs, none):
     assert byte_bpe.digests(none, path, P.PATTERN).count() == 0
 
 
+def test_bpe_worker_memory():
+    """What an encoder remembers takes less than 80 MB, and a worker keeps no tables of the stages before."""
+    from sys import getsizeof
+
+    from weftlink.llm import common
+
+    own = byte_bpe.Encoder.from_file(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for k in range(0, 20_000, 1000):
+        own.encode_joined("".join(f" qz{i * 7919:x}{'ab' * (i % 9)}" for i in range(k, k + 1000)))
+    pieces = sum(getsizeof(k) + getsizeof(v) + getsizeof(v[0]) + getsizeof(v[1]) for k, v in own.young.items()) / len(own.young)
+    assert 2 * byte_bpe.REMEMBERED * (pieces + 100) + byte_bpe.PAIRS * 140 < 80 << 20
+    common.powers(1000)
+    common.trim()
+    assert not common._POWERS
+
+
 def test_decontamination(spark, docs, none):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     windows = collections.defaultdict(set)

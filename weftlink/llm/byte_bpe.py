@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import prepare, trim
 
 #: Matches of up to REMEMBERED_BYTES that each of the encoder's two generations remembers, and pairs that its memo holds: together
-#: less than 200 MB in a worker, while a task runs.
-REMEMBERED, REMEMBERED_BYTES, PAIRS = 150_000, 64, 300_000
+#: less than 80 MB in a worker, while a task runs.
+REMEMBERED, REMEMBERED_BYTES, PAIRS = 80_000, 64, 200_000
 
 
 class Encoder:
@@ -222,6 +222,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()  # what the stages before have left in this worker
         own = encoder(path, pattern)
         for batch in batches:
             counts, ids, decoded = [], [], []

@@ -82,7 +82,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def trim() -> None:
-    """Give freed memory of a Python worker back to the system, since workers stay for later tasks."""
+    """Give freed memory of a Python worker back to the system, and what this module keeps, since workers stay for later tasks and stages."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)

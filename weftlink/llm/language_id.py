@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, passes, prepare, shielded
+from .common import U64, mixed, passes, prepare, shielded, trim
 
 UNDETERMINED = "und"
 #: log2 of the number of hashed features.
@@ -210,6 +210,7 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
             langs, scores = shared.value.predict(batch.column("text"))
             made = {lang: pa.array(langs, pa.string()), score: pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_arrays([made.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
+        trim()
 
     out = docs.withColumns({lang: F.lit(None).cast("string"), score: F.lit(None).cast("double")})
     return out.mapInArrow(run, out.schema)

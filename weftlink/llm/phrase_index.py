@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, PLAIN_WORD, passes, prepare, shielded, spans, text_buffer, word_hashes
+from .common import LOWER, PLAIN_WORD, passes, prepare, shielded, spans, text_buffer, trim, word_hashes
 
 BLOCK_BYTES = 8 << 20
 
@@ -195,6 +195,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, slop: int |
                             close[i] |= set(x or [])
                 made = {"phrase_words": pa.array(n_words, pa.int64()), "phrase_hits": pa.array(hits, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))), "phrase_items": pa.array([sorted(x) for x in items], pa.list_(pa.string())), "near_items": pa.array([sorted(x) for x in close], pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([made.get(name, batch.column(name)) for name in batch.schema.names], names=batch.schema.names)
+            trim()
 
         out = out.mapInArrow(run, out.schema)
     return out
